@@ -19,14 +19,14 @@ from scorestream.workspace import spread
 
 _CENTROIDS_SQL = """
 cells AS (
-    SELECT vec_id, label, generate_subscripts(embedding, 1) AS at, unnest(embedding)::DOUBLE AS x
+    SELECT vec_id, label, generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS x
     FROM embeddings
 ), centroids AS (
-    SELECT label AS class, at, avg(x) AS m FROM cells GROUP BY label, at
+    SELECT label AS class, pos, avg(x) AS m FROM cells GROUP BY label, pos
 ), compared AS (
     SELECT vec_id, class, -sqrt(sum((x - m) * (x - m))) AS distance_score,
            sum(x * m) / (sqrt(sum(x * x)) * sqrt(sum(m * m))) AS cosine_score
-    FROM cells JOIN centroids USING (at) GROUP BY vec_id, class
+    FROM cells JOIN centroids USING (pos) GROUP BY vec_id, class
 )
 """
 
@@ -144,7 +144,7 @@ _STD = (0.229, 0.224, 0.225, 0.25)
                greatest(0, least(255, floor((x + 1) * 127.5)))::INTEGER AS b
         FROM cells
     )
-    SELECT vec_id, (channel * 16 + spot)::INTEGER AS at,
+    SELECT vec_id, (channel * 16 + spot)::INTEGER AS place,
            round(((b / 255.0::DOUBLE - list_value{_MEAN}[channel + 1]) / list_value{_STD}[channel + 1])::FLOAT::DOUBLE, 3) AS value
     FROM bytes
     """,
@@ -160,6 +160,6 @@ def tensor_normalize(spark, sf_dir):
     payload = F.unhex(F.array_join(F.transform("embedding", byte), ""))
     tensor = normalized_tensor_udf((4, 4, 4), _MEAN, _STD)
     values = vectors.select("vec_id", payload.alias("content")).select(
-        "vec_id", F.posexplode(tensor("content")).alias("at", "value")
+        "vec_id", F.posexplode(tensor("content")).alias("place", "value")
     )
-    return values.select("vec_id", "at", F.round(F.col("value").cast("double"), 3).alias("value"))
+    return values.select("vec_id", "place", F.round(F.col("value").cast("double"), 3).alias("value"))

@@ -54,14 +54,11 @@ def cross_validate(spark, sf_dir):
     regs = [0.001, 0.1]
     tuned = plan.tune(rows, regs, metric="accuracy")
     scored = plan.score(tuned.bestModel, rows)
-    found = list(zip(["cv", "cv"], [f"accuracy_reg_{r}" for r in regs], tuned.avgMetrics))
+    found = [("cv", f"accuracy_reg_{r}", float(m)) for r, m in zip(regs, tuned.avgMetrics)]
     averages = spark.createDataFrame(found, "part string, metric string, value double")
     return _rounded(plan.report(scored).unionByName(averages))
 
 
-_REVIEW_COLUMNS = ("quality",)
-
-
 def _reviews(spark, sf_dir):
     """Documents with their quality grade and three counts taken from the text."""
     labels = table(spark, sf_dir, "labels", "doc_id", "quality")

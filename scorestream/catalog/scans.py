@@ -166,7 +166,7 @@ def multi_part_scan(spark, sf_dir):
 def binary_scan(spark, sf_dir):
     """Text files written by Spark, read back as bytes, one row per file."""
     path = scratch_path(spark, "pages-text")
-    table(spark, sf_dir, "pages", "html").write.option("maxRecordsPerFile", 500).text(path)
+    table(spark, sf_dir, "pages", "html").write.option("maxRecordsPerFile", 1000).text(path)
     files = batch.binary_scan(spark, path, glob="*.txt")
     newlines = line_count(F.col("content").cast("string")) - 1
     return files.agg(

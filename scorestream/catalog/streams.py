@@ -210,7 +210,7 @@ def stream_csv_parse(spark, sf_dir):
 def file_arrival_lines(spark, sf_dir):
     """Files landing in a folder, their lines counted as they arrive."""
     folder = scratch_path(spark, "landing")
-    table(spark, sf_dir, "pages", "html").write.option("maxRecordsPerFile", 500).text(folder)
+    table(spark, sf_dir, "pages", "html").write.option("maxRecordsPerFile", 1000).text(folder)
     counted = file_lines(arriving_files(spark, folder, "*.txt", _FILES_PER_TRIGGER))
     per_file = _drained(spark, counted, "file-lines")
     return per_file.agg(

@@ -239,7 +239,7 @@ def _stem_sql(source: str) -> str:
     return ", ".join(ctes) + f", stems AS (SELECT word, w AS stem FROM s{len(steps)})"
 
 
-_WORDS_SQL = rf"{_NORMAL_SQL}, placed AS (SELECT doc_id, unnest(list_transform(words, lambda x: lower(x))) AS word, generate_subscripts(words, 1) AS at FROM normal)"
+_WORDS_SQL = rf"{_NORMAL_SQL}, placed AS (SELECT doc_id, unnest(list_transform(words, lambda x: lower(x))) AS word, generate_subscripts(words, 1) AS place FROM normal)"
 
 
 @query(
@@ -259,7 +259,7 @@ def stem_vocabulary(spark, sf_dir):
     "stem_documents",
     f"""
     WITH {_WORDS_SQL}, {_stem_sql('placed')}, joined AS (
-        SELECT doc_id, string_agg(stem, ' ' ORDER BY at) AS finished
+        SELECT doc_id, string_agg(stem, ' ' ORDER BY place) AS finished
         FROM placed JOIN stems USING (word) GROUP BY doc_id
     )
     SELECT d.doc_id, md5(coalesce(finished, '')) AS digest

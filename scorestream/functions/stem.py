@@ -169,7 +169,7 @@ def stem_tokens(tokens: Column, lower: bool = True) -> Column:
     )
     for step in _STEPS:
         marked = F.transform(marked, _unless_short(step))
-    return F.transform(marked, F.ltrim)
+    return F.transform(marked, lambda word: F.ltrim(word))
 
 
 def stem_word(word: Column, lower: bool = True) -> Column:

@@ -39,4 +39,5 @@ def random_split(
 
 def fold_column(df: DataFrame, key: str, folds: int, name: str = "fold") -> DataFrame:
     """Cross-validation fold of each row, from its key."""
-    return df.withColumn(name, hash_bucket(F.concat(F.lit("fold-"), F.col(key).cast("string")), folds).cast("int"))
+    salted = F.concat(F.lit("fold-"), F.col(key).cast("string"))
+    return df.withColumn(name, hash_bucket(salted, folds).cast("int"))

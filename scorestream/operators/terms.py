@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, functions as F
 
+from scorestream.operators.lookup import lookup_join, measured_bytes
+
 
 def english_stop_words() -> list[str]:
     """The default stop list of ``StopWordsRemover``."""
@@ -87,11 +89,11 @@ def term_weights(
 ) -> DataFrame:
     """Per document and vocabulary term: count, idf and their product.
 
-    ``idf`` is a written table, so Catalyst sees its size and broadcasts it
-    when it is small enough; otherwise the join is shuffled by term.
+    ``idf`` is a written table; its measured size decides how it is joined.
     """
     rows = explode_terms(df, tokens, [key], stop_words)
-    counted = rows.join(idf.select("term", "idf"), "term").groupBy(key, "term", "idf").agg(
-        F.count("*").alias("tf")
-    )
+    table = idf.select("term", "idf")
+    counted = lookup_join(rows, table, "term", "inner", measured_bytes(table)).groupBy(
+        key, "term", "idf"
+    ).agg(F.count("*").alias("tf"))
     return counted.select(key, "term", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def table_scan(
@@ -41,9 +41,13 @@ def csv_scan(
     query selects: otherwise a count would keep rows that a full read drops.
     """
     reader = spark.read.options(header=header, mode=mode, columnPruning=False, **options)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+    if schema is None:
+        return reader.csv(path)
+    df = reader.schema(schema).csv(path)
+    if mode.upper() != "DROPMALFORMED":
+        return df
+    # Always true, but it makes every column a required one.
+    return df.where(F.hash(*df.columns) <= F.lit(2**31 - 1))
 
 
 def json_scan(

@@ -60,7 +60,10 @@ def message_replay(
 def arriving_files(
     spark: SparkSession, path: str, glob: str | None = None, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Files as they land in a folder, with their bytes."""
+    """Files as they land in a folder, with their bytes.
+
+    The engine's file sources pass over files of length zero.
+    """
     options: dict[str, Any] = {"recursiveFileLookup": True}
     if glob:
         options["pathGlobFilter"] = glob
