@@ -41,12 +41,12 @@ classes AS (
     LEFT JOIN seen s ON s.term = v.term AND s.label = c.label
 )
 """
-_IDF_SQL = (
+IDF_SQL = (
     f"ln(((SELECT count(*) FROM documents WHERE {TRAIN_SQL}) + 1.0::DOUBLE) / (df + 1))"
 )
 
 #: One row per document: the label with the highest score.
-_PREDICT_SQL = """
+PREDICT_SQL = """
 scores AS (
     SELECT r.doc_id, p.label, sum(p.log_prob * p.idf) AS s
     FROM raw_tokens r JOIN params p USING (term) GROUP BY r.doc_id, p.label
@@ -62,12 +62,17 @@ scores AS (
 """
 
 
+def model_sql(weight: str = "1.0::DOUBLE") -> str:
+    """The fit over CTEs named documents, raw_tokens and tokens."""
+    return _FIT_SQL.replace("{weight}", weight)
+
+
 def fit_sql(weight: str = "1.0::DOUBLE") -> str:
-    return TOKENS_SQL + ", " + _FIT_SQL.replace("{weight}", weight)
+    return f"{TOKENS_SQL}, {model_sql(weight)}"
 
 
 #: Shared with the queries that score the same model through the library.
-TERM_PREDICTION_SQL = f"{fit_sql()}, {_PREDICT_SQL}"
+TERM_PREDICTION_SQL = f"{fit_sql()}, {PREDICT_SQL}"
 
 
 def fit_terms(spark, sf_dir, **how):
@@ -141,7 +146,7 @@ def _rounded(summary):
 
 @query(
     "tfidf_nb_predict",
-    f"WITH {fit_sql(_IDF_SQL)}, {_PREDICT_SQL} SELECT doc_id, lang, prediction FROM predicted",
+    f"WITH {fit_sql(IDF_SQL)}, {PREDICT_SQL} SELECT doc_id, lang, prediction FROM predicted",
 )
 def tfidf_nb_predict(spark, sf_dir):
     """The same model over tf-idf weights."""
@@ -164,8 +169,9 @@ votes AS (
     INTO NAME feature VALUE x
 )
 """
-_ABLATION_SQL = f"""
-{TOKENS_SQL}, {_FIT_SQL.replace("{weight}", "1.0::DOUBLE")}, {_PREDICT_SQL}, {_VOTES_SQL},
+#: The model over terms, counts and products, as a CTE named full_ranked.
+FULL_SQL = f"""
+{fit_sql()}, {PREDICT_SQL}, {_VOTES_SQL},
 number_seen AS (
     SELECT feature, lang AS label, sum(x) AS n FROM numbers WHERE {TRAIN_SQL} GROUP BY 1, 2
 ), number_totals AS (
@@ -189,7 +195,10 @@ number_seen AS (
     FROM documents d CROSS JOIN classes c
     LEFT JOIN (SELECT doc_id, label, sum(s) AS s FROM parts GROUP BY 1, 2) s
         ON s.doc_id = d.doc_id AND s.label = c.label
-), outcomes AS (
+)
+"""
+_ABLATION_SQL = f"""
+{FULL_SQL}, outcomes AS (
     SELECT 'text' AS feature_set, lang AS label, prediction, doc_id FROM predicted
     UNION ALL SELECT 'full', lang, label, doc_id FROM full_ranked WHERE place = 1
 )

@@ -8,10 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scorestream.catalog.bayes import TERM_PREDICTION_SQL, fit_sql, _IDF_SQL, _PREDICT_SQL
+from scorestream.catalog.bayes import (
+    FULL_SQL,
+    GAUSSIAN_SQL,
+    IDF_SQL,
+    PREDICT_SQL,
+    TERM_PREDICTION_SQL,
+    fit_sql,
+    model_sql,
+)
 from scorestream.catalog.columns import TRAIN_SQL, document_shape
 from scorestream.catalog.registry import query, table
-from scorestream.catalog.text import documents
+from scorestream.catalog.text import STOP_SQL, WORDS_SQL, documents, stem_sql
 from scorestream.operators.features import SHAPE_COLUMNS, VOTE_COLUMNS, text_votes, unindex_label
 from scorestream.plans.review import ReviewPlan
 from scorestream.plans.tabular import TabularPlan
@@ -46,6 +54,18 @@ query("train_mlp")(_tabular("mlp", "std", max_iter=100))
 query("train_ovr")(_tabular("ovr", "std", max_iter=25, reg=0.01))
 
 
+@query(
+    "library_gaussian_predict",
+    f"WITH {GAUSSIAN_SQL} SELECT doc_id, lang, prediction FROM predicted",
+)
+def library_gaussian_predict(spark, sf_dir):
+    """Gaussian Bayes as a library stage, with the labels of the fitted indexer."""
+    rows = materialize(document_shape(spark, sf_dir), "shape")
+    plan = TabularPlan("doc_id", SHAPE_COLUMNS, "lang", "gnb")
+    scored = plan.score(plan.fit(rows), rows)
+    return scored.select("doc_id", "lang", F.col("predicted_label").alias("prediction"))
+
+
 @query("cross_validate")
 def cross_validate(spark, sf_dir):
     """Three folds over two penalties of a one-vs-rest model; the mean metric of each."""
@@ -59,6 +79,65 @@ def cross_validate(spark, sf_dir):
     return _rounded(plan.report(scored).unionByName(averages))
 
 
+#: Graded documents under the name the language SQL reads, the grade as target.
+_GRADED_SQL = """
+documents AS (
+    SELECT d.doc_id, d.text, l.quality::VARCHAR AS lang
+    FROM main.documents d JOIN main.labels l ON l.doc_id = d.doc_id
+    WHERE {rows}
+)
+"""
+
+#: Metrics of train and test rows over a CTE (doc_id, lang, prediction).
+_PARTS_SQL = """
+parts_confusion AS (
+    SELECT CASE WHEN {train} THEN 'train' ELSE 'test' END AS part, lang AS label, prediction,
+           count(*) AS n
+    FROM {predicted} GROUP BY ALL
+), parts_sides AS (
+    SELECT part, class, sum(support) AS support, sum(guessed) AS guessed, sum(hit) AS hit FROM (
+        SELECT part, label AS class, n AS support, 0 AS guessed,
+               CASE WHEN label = prediction THEN n ELSE 0 END AS hit FROM parts_confusion
+        UNION ALL SELECT part, prediction, 0, n, 0 FROM parts_confusion
+    ) GROUP BY part, class
+), parts_measured AS (
+    SELECT part, sum(support)::DOUBLE AS n_rows, sum(hit)::DOUBLE / sum(support) AS accuracy,
+           sum(support * (2.0::DOUBLE * hit / (support + guessed))) / sum(support) AS weighted_f1
+    FROM parts_sides GROUP BY part
+)
+SELECT part, 'n_rows' AS metric, n_rows AS value FROM parts_measured
+UNION ALL SELECT part, 'accuracy', round(accuracy, 6) FROM parts_measured
+UNION ALL SELECT part, 'weighted_f1', round(weighted_f1, 6) FROM parts_measured
+UNION ALL SELECT part, 'error_rate', round(1 - accuracy, 6) FROM parts_measured
+"""
+
+_TEXT_NB_SQL = (
+    "WITH " + _GRADED_SQL.format(rows="true") + f", {fit_sql()}, {PREDICT_SQL}, "
+    + _PARTS_SQL.format(train=TRAIN_SQL, predicted="predicted")
+)
+
+_IN_RANGE = (
+    r"length(text) - length(regexp_replace(text, '[?!]', '', 'g')) <= 10 "
+    r"AND length(text) - length(replace(text, chr(10), '')) <= 10 "
+    r"AND length(text) - length(regexp_replace(text, '[0-9]', '', 'g')) <= 10"
+)
+_VOTES_NB_SQL = (
+    "WITH " + _GRADED_SQL.format(rows=_IN_RANGE) + f", {FULL_SQL}, "
+    "full_predicted AS (SELECT doc_id, lang, label AS prediction FROM full_ranked WHERE place = 1), "
+    + _PARTS_SQL.format(train=TRAIN_SQL, predicted="full_predicted")
+)
+
+_STEM_NB_SQL = (
+    "WITH " + _GRADED_SQL.format(rows="true")
+    + f", {WORDS_SQL}, {stem_sql('placed')}, raw_tokens AS ("
+    "SELECT p.doc_id, d.lang, s.stem AS term FROM placed p JOIN stems s USING (word) "
+    "JOIN documents d ON d.doc_id = p.doc_id"
+    f"), tokens AS (SELECT * FROM raw_tokens WHERE term NOT IN {STOP_SQL}), "
+    + model_sql(IDF_SQL) + f", {PREDICT_SQL}, "
+    + _PARTS_SQL.format(train=TRAIN_SQL, predicted="predicted")
+).replace("< 80", "< 70")
+
+
 def _reviews(spark, sf_dir):
     """Documents with their quality grade and three counts taken from the text."""
     labels = table(spark, sf_dir, "labels", "doc_id", "quality")
@@ -87,10 +166,13 @@ query("review_stem_tfidf_lr")(
 query("review_stem_tfidf_dt")(
     _review(classifier="dt", feature_set="text", tokenizer="stems", idf=True, train_percent=70)
 )
-query("review_stem_tfidf_nb")(
+query("review_stem_tfidf_nb", _STEM_NB_SQL)(
     _review(classifier="nb", feature_set="text", tokenizer="stems", idf=True, train_percent=70)
 )
-query("review_nb")(_review(classifier="nb", vote_range=(0, 10), target_range=(-1, 1)))
+query("review_nb", _VOTES_NB_SQL)(
+    _review(classifier="nb", vote_range=(0, 10), target_range=(-1, 1))
+)
+query("review_nb_text", _TEXT_NB_SQL)(_review(classifier="nb", feature_set="text"))
 
 
 def _language_plan(**how):
@@ -129,7 +211,7 @@ def library_nb_predict(spark, sf_dir):
 
 @query(
     "library_tfidf_nb_predict",
-    f"WITH {fit_sql(_IDF_SQL)}, {_PREDICT_SQL} SELECT doc_id, lang, prediction FROM predicted",
+    f"WITH {fit_sql(IDF_SQL)}, {PREDICT_SQL} SELECT doc_id, lang, prediction FROM predicted",
 )
 def library_tfidf_nb_predict(spark, sf_dir):
     models = language_models(spark, sf_dir, idf=True)

@@ -162,7 +162,7 @@ def normalize(spark, sf_dir):
     )
 
 
-def _stem_sql(source: str) -> str:
+def stem_sql(source: str) -> str:
     """The suffix rules of Porter (1980) in SQL, from a table of words to (word, stem).
 
     One CTE per step; ``source`` is the name of a CTE with a column ``word``.
@@ -239,12 +239,12 @@ def _stem_sql(source: str) -> str:
     return ", ".join(ctes) + f", stems AS (SELECT word, w AS stem FROM s{len(steps)})"
 
 
-_WORDS_SQL = rf"{_NORMAL_SQL}, placed AS (SELECT doc_id, unnest(list_transform(words, lambda x: lower(x))) AS word, generate_subscripts(words, 1) AS place FROM normal)"
+WORDS_SQL = rf"{_NORMAL_SQL}, placed AS (SELECT doc_id, unnest(list_transform(words, lambda x: lower(x))) AS word, generate_subscripts(words, 1) AS place FROM normal)"
 
 
 @query(
     "stem_vocabulary",
-    f"WITH {_WORDS_SQL}, {_stem_sql('placed')} SELECT word, stem FROM stems",
+    f"WITH {WORDS_SQL}, {stem_sql('placed')} SELECT word, stem FROM stems",
 )
 def stem_vocabulary(spark, sf_dir):
     """Every distinct word with its stem; each word is stemmed once."""
@@ -258,7 +258,7 @@ def stem_vocabulary(spark, sf_dir):
 @query(
     "stem_documents",
     f"""
-    WITH {_WORDS_SQL}, {_stem_sql('placed')}, joined AS (
+    WITH {WORDS_SQL}, {stem_sql('placed')}, joined AS (
         SELECT doc_id, string_agg(stem, ' ' ORDER BY place) AS finished
         FROM placed JOIN stems USING (word) GROUP BY doc_id
     )

@@ -8,9 +8,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+_INT_LOW, _INT_HIGH = -(2**31), 2**31 - 1
+
+
+def _int_product(left: Column, right: Column) -> Column:
+    wide = left.cast("bigint") * right.cast("bigint")
+    return F.when(wide.between(_INT_LOW, _INT_HIGH), wide.cast("int"))
+
+
 def product(*columns: Column) -> Column:
-    """Integer product; null on a null factor and on overflow."""
-    return reduce(F.try_multiply, columns)
+    """Product of 32-bit integers; null on a null factor and on overflow.
+
+    Two such factors always fit 64 bits, so a range test settles overflow.
+    ``try_multiply`` gives the same values, but raises and catches an exception
+    for every overflowing row.
+    """
+    return reduce(_int_product, columns)
 
 
 def with_interactions(df: DataFrame, terms: Mapping[str, Sequence[str]]) -> DataFrame:
