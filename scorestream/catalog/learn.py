@@ -27,6 +27,48 @@ from scorestream.sources.artifacts import chain_models, load_pipeline, save_mode
 from scorestream.workspace import materialize, scratch_path
 
 
+#: Metrics of train and test rows over a CTE (doc_id, lang, prediction).
+_PARTS_SQL = """
+parts_confusion AS (
+    SELECT CASE WHEN {train} THEN 'train' ELSE 'test' END AS part, lang AS label, prediction,
+           count(*) AS n
+    FROM {predicted} GROUP BY ALL
+), parts_sides AS (
+    SELECT part, class, sum(support) AS support, sum(guessed) AS guessed, sum(hit) AS hit FROM (
+        SELECT part, label AS class, n AS support, 0 AS guessed,
+               CASE WHEN label = prediction THEN n ELSE 0 END AS hit FROM parts_confusion
+        UNION ALL SELECT part, prediction, 0, n, 0 FROM parts_confusion
+    ) GROUP BY part, class
+), parts_measured AS (
+    SELECT part, sum(support)::DOUBLE AS n_rows, sum(hit)::DOUBLE / sum(support) AS accuracy,
+           sum(support * (2.0::DOUBLE * hit / (support + guessed))) / sum(support) AS weighted_f1
+    FROM parts_sides GROUP BY part
+)
+SELECT part, 'n_rows' AS metric, n_rows AS value FROM parts_measured
+UNION ALL SELECT part, 'accuracy', round(accuracy, 6) FROM parts_measured
+UNION ALL SELECT part, 'weighted_f1', round(weighted_f1, 6) FROM parts_measured
+UNION ALL SELECT part, 'error_rate', round(1 - accuracy, 6) FROM parts_measured
+"""
+
+_SCALED_GNB_SQL = (
+    "WITH "
+    + GAUSSIAN_SQL.replace("UNPIVOT shape ON", "UNPIVOT scaled ON").replace(
+        "long AS (",
+        f"""deviations AS (
+            SELECT stddev_samp(n_words) AS a, stddev_samp(avg_word) AS b,
+                   stddev_samp(ascii_share) AS c, stddev_samp(mark_share) AS d
+            FROM shape WHERE {TRAIN_SQL}
+        ), scaled AS (
+            SELECT doc_id, lang, n_words / a AS n_words, avg_word / b AS avg_word,
+                   ascii_share / c AS ascii_share, mark_share / d AS mark_share
+            FROM shape, deviations
+        ), long AS (""",
+    )
+    + ", "
+    + _PARTS_SQL.format(train=TRAIN_SQL, predicted="predicted")
+)
+
+
 def _tabular(classifier, scaling=None, **how):
     def run(spark, sf_dir):
         # Several passes follow; the measurements are small, the texts are not.
@@ -49,7 +91,7 @@ query("train_dt_scaled")(_tabular("dt", "std"))
 query("train_rf")(_tabular("rf"))
 query("train_rf_scaled")(_tabular("rf", "std"))
 query("train_rf_components")(_tabular("rf", "pca", trees=10))
-query("train_gaussian_nb_scaled")(_tabular("gnb", "std"))
+query("train_gaussian_nb_scaled", _SCALED_GNB_SQL)(_tabular("gnb", "std"))
 query("train_mlp")(_tabular("mlp", "std", max_iter=100))
 query("train_ovr")(_tabular("ovr", "std", max_iter=25, reg=0.01))
 
@@ -88,29 +130,6 @@ documents AS (
 )
 """
 
-#: Metrics of train and test rows over a CTE (doc_id, lang, prediction).
-_PARTS_SQL = """
-parts_confusion AS (
-    SELECT CASE WHEN {train} THEN 'train' ELSE 'test' END AS part, lang AS label, prediction,
-           count(*) AS n
-    FROM {predicted} GROUP BY ALL
-), parts_sides AS (
-    SELECT part, class, sum(support) AS support, sum(guessed) AS guessed, sum(hit) AS hit FROM (
-        SELECT part, label AS class, n AS support, 0 AS guessed,
-               CASE WHEN label = prediction THEN n ELSE 0 END AS hit FROM parts_confusion
-        UNION ALL SELECT part, prediction, 0, n, 0 FROM parts_confusion
-    ) GROUP BY part, class
-), parts_measured AS (
-    SELECT part, sum(support)::DOUBLE AS n_rows, sum(hit)::DOUBLE / sum(support) AS accuracy,
-           sum(support * (2.0::DOUBLE * hit / (support + guessed))) / sum(support) AS weighted_f1
-    FROM parts_sides GROUP BY part
-)
-SELECT part, 'n_rows' AS metric, n_rows AS value FROM parts_measured
-UNION ALL SELECT part, 'accuracy', round(accuracy, 6) FROM parts_measured
-UNION ALL SELECT part, 'weighted_f1', round(weighted_f1, 6) FROM parts_measured
-UNION ALL SELECT part, 'error_rate', round(1 - accuracy, 6) FROM parts_measured
-"""
-
 _TEXT_NB_SQL = (
     "WITH " + _GRADED_SQL.format(rows="true") + f", {fit_sql()}, {PREDICT_SQL}, "
     + _PARTS_SQL.format(train=TRAIN_SQL, predicted="predicted")
