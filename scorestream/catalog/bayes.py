@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scorestream.catalog.columns import SHAPE_SQL, TRAIN_SQL, document_shape
+from scorestream.catalog.columns import SHAPE_SQL, TRAIN_SQL, document_shape, stored_shape
 from scorestream.catalog.registry import query
 from scorestream.catalog.text import TOKENS_SQL, documents, words
 from scorestream.operators import metrics
@@ -256,7 +256,7 @@ def fit_shape(rows):
 
 
 def predict_shape(spark, sf_dir):
-    rows = document_shape(spark, sf_dir)
+    rows = stored_shape(spark, sf_dir)
     return fit_shape(rows).predict(rows).select("doc_id", "lang", "prediction")
 
 

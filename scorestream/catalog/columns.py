@@ -11,7 +11,7 @@ from scorestream.functions.labels import branch_code, correct_flag, lookup, perc
 from scorestream.functions.numeric import vote_interactions, with_interactions
 from scorestream.operators import clean, features, project
 from scorestream.operators.split import hash_bucket, is_train
-from scorestream.workspace import spread
+from scorestream.workspace import materialize, spread
 
 #: The split rule in SQL.
 TRAIN_SQL = "(('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 100) < 80"
@@ -40,6 +40,14 @@ def document_shape(spark, sf_dir):
     return features.text_shape(documents).drop("text")
 
 
+def stored_shape(spark, sf_dir):
+    """The measurements, written once for jobs that read them more than once.
+
+    They are a small fraction of the texts, which are then scanned only once.
+    """
+    return materialize(document_shape(spark, sf_dir), "shape")
+
+
 @query(
     "project_rename_cast",
     """
@@ -282,7 +290,7 @@ def assemble_features(spark, sf_dir):
 
 
 def _scaled(spark, sf_dir, **how):
-    rows = document_shape(spark, sf_dir)
+    rows = stored_shape(spark, sf_dir)
     stages = [features.assemble(features.SHAPE_COLUMNS), features.scale(**how)]
     vectors = Pipeline(stages=stages).fit(rows).transform(rows)
     return vectors.select("doc_id", *_vector_columns(vectors, "scaled", 6))
@@ -324,7 +332,7 @@ def center_mean(spark, sf_dir):
 @query("pca_variance")
 def pca_variance(spark, sf_dir):
     """Share of variance and loadings of three components of the centred features."""
-    rows = document_shape(spark, sf_dir)
+    rows = stored_shape(spark, sf_dir)
     stages = [
         features.assemble(features.SHAPE_COLUMNS),
         features.scale(std=False, mean=True),

@@ -17,10 +17,11 @@ from scorestream.catalog.bayes import (
     fit_sql,
     model_sql,
 )
-from scorestream.catalog.columns import TRAIN_SQL, document_shape
+from scorestream.catalog.columns import TRAIN_SQL, stored_shape
 from scorestream.catalog.registry import query, table
 from scorestream.catalog.text import STOP_SQL, WORDS_SQL, documents, stem_sql
-from scorestream.operators.features import SHAPE_COLUMNS, VOTE_COLUMNS, text_votes, unindex_label
+from scorestream.functions.labels import lookup
+from scorestream.operators.features import SHAPE_COLUMNS, VOTE_COLUMNS, text_votes
 from scorestream.plans.review import ReviewPlan
 from scorestream.plans.tabular import TabularPlan
 from scorestream.sources.artifacts import chain_models, load_pipeline, save_model
@@ -71,8 +72,7 @@ _SCALED_GNB_SQL = (
 
 def _tabular(classifier, scaling=None, **how):
     def run(spark, sf_dir):
-        # Several passes follow; the measurements are small, the texts are not.
-        rows = materialize(document_shape(spark, sf_dir), "shape")
+        rows = stored_shape(spark, sf_dir)
         plan = TabularPlan("doc_id", SHAPE_COLUMNS, "lang", classifier, scaling, **how)
         scored = plan.score(plan.fit(rows), rows)
         return _rounded(plan.report(scored))
@@ -102,7 +102,7 @@ query("train_ovr")(_tabular("ovr", "std", max_iter=25, reg=0.01))
 )
 def library_gaussian_predict(spark, sf_dir):
     """Gaussian Bayes as a library stage, with the labels of the fitted indexer."""
-    rows = materialize(document_shape(spark, sf_dir), "shape")
+    rows = stored_shape(spark, sf_dir)
     plan = TabularPlan("doc_id", SHAPE_COLUMNS, "lang", "gnb")
     scored = plan.score(plan.fit(rows), rows)
     return scored.select("doc_id", "lang", F.col("predicted_label").alias("prediction"))
@@ -111,7 +111,7 @@ def library_gaussian_predict(spark, sf_dir):
 @query("cross_validate")
 def cross_validate(spark, sf_dir):
     """Three folds over two penalties of a one-vs-rest model; the mean metric of each."""
-    rows = materialize(document_shape(spark, sf_dir), "shape")
+    rows = stored_shape(spark, sf_dir)
     plan = TabularPlan("doc_id", SHAPE_COLUMNS, "lang", "ovr", "std", max_iter=10, reg=0.01)
     regs = [0.001, 0.1]
     tuned = plan.tune(rows, regs, metric="accuracy")
@@ -158,16 +158,19 @@ _STEM_NB_SQL = (
 
 
 def _reviews(spark, sf_dir):
-    """Documents with their quality grade and three counts taken from the text."""
+    """Documents with their quality grade and three counts taken from the text.
+
+    Written once: the job reads its rows several times, and on stored counts
+    its filters reach the scan.
+    """
     labels = table(spark, sf_dir, "labels", "doc_id", "quality")
-    return text_votes(documents(spark, sf_dir)).join(labels, "doc_id")
+    return materialize(text_votes(documents(spark, sf_dir)).join(labels, "doc_id"), "reviews")
 
 
 def _review(**how):
     def run(spark, sf_dir):
         plan = ReviewPlan(key="doc_id", target="quality", votes=VOTE_COLUMNS, **how)
-        # Each fit reads its rows several times.
-        prepared = materialize(plan.prepare(_reviews(spark, sf_dir)), "reviews")
+        prepared = plan.prepare(_reviews(spark, sf_dir))
         scored = plan.score(plan.fit(prepared), prepared)
         return _rounded(plan.report(scored))
 
@@ -206,14 +209,14 @@ def language_models(spark, sf_dir, **how):
     return plan.fit(plan.prepare(documents(spark, sf_dir, "lang")))
 
 
-def language_names(models):
+def language_name(models):
+    """Predicted language, from the labels of the fitted indexer."""
     labels = models[0].stages[0].labels
-    return unindex_label([*labels, "unknown"], "prediction", "guess")
+    return lookup(F.col("prediction"), {float(i): name for i, name in enumerate(labels)})
 
 
 def _named(scored, models):
-    named = language_names(models).transform(scored)
-    return named.select("doc_id", "lang", F.col("guess").alias("prediction"))
+    return scored.select("doc_id", "lang", language_name(models).alias("prediction"))
 
 
 @query(

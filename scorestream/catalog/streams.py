@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from scorestream.catalog.bayes import GAUSSIAN_SQL, TERM_PREDICTION_SQL, fit_shape
-from scorestream.catalog.columns import document_shape
-from scorestream.catalog.learn import language_models, language_names
+from scorestream.catalog.columns import stored_shape
+from scorestream.catalog.learn import language_models, language_name
 from scorestream.catalog.registry import query, table
 from scorestream.catalog.text import documents
 from scorestream.operators.features import SHAPE_COLUMNS
@@ -64,7 +64,7 @@ def _finish(streaming_query):
 
 def _scored_shapes(spark, sf_dir):
     """A stream of measurement messages with predicted language and flag."""
-    rows = document_shape(spark, sf_dir)
+    rows = stored_shape(spark, sf_dir)
     model = fit_shape(rows)
     stream = parse_json_messages(_replay(spark, json_messages(rows, "doc_id"), "shapes"), _SHAPE)
     return with_correct(model.predict(stream), "lang")
@@ -135,8 +135,8 @@ def stream_score(spark, sf_dir):
     models = language_models(spark, sf_dir)
     messages = json_messages(documents(spark, sf_dir, "lang"), "doc_id")
     stream = parse_json_messages(_replay(spark, messages, "texts"), _TEXT)
-    scored = language_names(models).transform(score_stream(stream, *models))
-    result = scored.select("doc_id", "lang", F.col("guess").alias("prediction"))
+    scored = score_stream(stream, *models)
+    result = scored.select("doc_id", "lang", language_name(models).alias("prediction"))
     path = scratch_path(spark, "scored")
     _finish(stream_sink(result, "parquet", path=path, trigger=_ALL))
     return spark.read.schema(result.schema).parquet(path)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from scorestream.functions.numeric import vote_interactions, with_interactions
 from scorestream.operators import classifiers, metrics
-from scorestream.operators.clean import above_up_to, all_between, clean_rows
+from scorestream.operators.clean import above_up_to, all_between, clean_rows, drop_null_rows
 from scorestream.operators.features import assemble, index_label, term_stages, token_stages
 from scorestream.operators.split import is_train
 from scorestream.sources.artifacts import chain_models
@@ -45,13 +45,19 @@ class ReviewPlan:
     vote_range: tuple[float, float] | None = None
 
     def prepare(self, df: DataFrame) -> DataFrame:
-        """Clean and filter rows and add the products of the counts."""
+        """Clean and filter rows and add the products of the counts.
+
+        Rows without a text or with a null number (a product out of range) go
+        here, by plain column tests.  Left to the assembler, the test would be
+        on the vector, and every text would be tokenised once more to make it.
+        """
         rows = clean_rows(df) if self.clean else df
         if self.target_range:
             rows = rows.where(above_up_to(self.target, *self.target_range))
         if self.vote_range:
             rows = rows.where(all_between(self.votes, *self.vote_range))
-        return with_interactions(rows, self._products())
+        wide = with_interactions(rows, self._products())
+        return drop_null_rows(wide, [self.text, *self.numeric_columns()])
 
     def _products(self) -> dict[str, tuple[str, ...]]:
         return vote_interactions(*self.votes) if self.feature_set == "full" else {}
@@ -66,7 +72,7 @@ class ReviewPlan:
             index_label(self.target, "label"),
             *token_stages(self.text, self.tokenizer),
             *term_stages(vocab_size=self.vocab_size, min_df=self.min_df, idf=self.idf),
-            assemble(["term_vector", *self.numeric_columns()], invalid="skip"),
+            assemble(["term_vector", *self.numeric_columns()]),
         ]
 
     def classifier_stage(self):
