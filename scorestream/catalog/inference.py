@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from scorestream.catalog.registry import query, table
 from scorestream.operators.infer import (
+    CHANNEL_MEAN,
+    CHANNEL_STD,
     class_centroids,
     cosine_centroid,
     image_size,
@@ -130,8 +132,8 @@ def image_header_size(spark, sf_dir):
     return images.select("doc_id", image_size("content").alias("size")).select("doc_id", "size.*")
 
 
-_MEAN = (0.485, 0.456, 0.406, 0.5)
-_STD = (0.229, 0.224, 0.225, 0.25)
+_MEAN = (*CHANNEL_MEAN, 0.5)
+_STD = (*CHANNEL_STD, 0.25)
 
 
 @query(

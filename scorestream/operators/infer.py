@@ -14,7 +14,11 @@ from scorestream.schemas import IMAGE_SIZE, PREDICTION
 #: A model maps a stacked batch to one row of class scores per payload.
 Model = Callable[[np.ndarray], np.ndarray]
 
-_EMPTY = {"class": None, "desc": None, "score": None}
+# Channel means and deviations of the usual image networks.
+CHANNEL_MEAN = (0.485, 0.456, 0.406)
+CHANNEL_STD = (0.229, 0.224, 0.225)
+
+_FIELDS = ["class", "desc", "score"]
 
 
 def predict_udf(
@@ -54,7 +58,7 @@ def predict_udf(
                 score(model, present.iloc[start : start + batch_size])
                 for start in range(0, len(present), batch_size)
             ]
-            found = pd.concat(parts) if parts else pd.DataFrame(columns=list(_EMPTY))
+            found = pd.concat(parts) if parts else pd.DataFrame(columns=_FIELDS)
             yield found.reindex(payloads.index)
 
     return predict
@@ -67,8 +71,8 @@ def bytes_to_tensor(content: bytes, shape: Sequence[int]) -> np.ndarray:
 
 def normalized_tensor_udf(
     shape: Sequence[int] = (32, 32, 3),
-    mean: Sequence[float] = (0.485, 0.456, 0.406),
-    std: Sequence[float] = (0.229, 0.224, 0.225),
+    mean: Sequence[float] = CHANNEL_MEAN,
+    std: Sequence[float] = CHANNEL_STD,
 ):
     """Column function: height-width-channel bytes -> channel-first floats.
 
