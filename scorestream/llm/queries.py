@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorestream.llm import frames, language
+from scorestream.llm import frames, language, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,8 +25,13 @@ def op1_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(frames.documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ppm_language": op1_ppm_language,
+    "op2_simhash": op2_simhash,
 }
 
 ORACLES: dict[str, str] = {}
