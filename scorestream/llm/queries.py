@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorestream.llm import frames, language, simhash
+from scorestream.llm import frames, language, simhash, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,9 +30,28 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(frames.documents(spark, sf_dir))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(
+        frames.documents(spark, sf_dir),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN,
+    )
+
+
+def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encode_decode(
+        frames.documents(spark, sf_dir),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        digests=True,
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_ppm_language": op1_ppm_language,
     "op2_simhash": op2_simhash,
+    "op3_token_counts": op3_token_counts,
+    "op8_piece_codec": op8_piece_codec,
 }
 
 ORACLES: dict[str, str] = {}
