@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorestream.llm import frames, language, simhash, tokens
+from scorestream.llm import frames, hilbert, language, simhash, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,10 +47,20 @@ def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.curve_shards(frames.read_table(spark, sf_dir, "documents"))
+
+
+def op7_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(frames.read_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ppm_language": op1_ppm_language,
     "op2_simhash": op2_simhash,
     "op3_token_counts": op3_token_counts,
+    "op5_hilbert_shards": op5_hilbert_shards,
+    "op7_zip_warc": op7_zip_warc,
     "op8_piece_codec": op8_piece_codec,
 }
 
