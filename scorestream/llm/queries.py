@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorestream.llm import frames, hilbert, language, simhash, tokens, warc
+from scorestream.llm import frames, hilbert, language, simhash, tokens, vantage, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,31 @@ def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+NEAREST_SQL = """
+WITH usable AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           list_inner_product(q.v, c.v)
+             / (sqrt(list_inner_product(q.v, q.v)) * sqrt(list_inner_product(c.v, c.v))) AS score
+    FROM usable q, usable c
+    WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+ranked AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank,
+           vec_id, score
+    FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+def op4_vantage_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = frames.read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return vantage.nearest(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.curve_shards(frames.read_table(spark, sf_dir, "documents"))
 
@@ -59,9 +84,12 @@ QUERIES: dict[str, Query] = {
     "op1_ppm_language": op1_ppm_language,
     "op2_simhash": op2_simhash,
     "op3_token_counts": op3_token_counts,
+    "op4_vantage_neighbours": op4_vantage_neighbours,
     "op5_hilbert_shards": op5_hilbert_shards,
     "op7_zip_warc": op7_zip_warc,
     "op8_piece_codec": op8_piece_codec,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_vantage_neighbours": NEAREST_SQL,
+}
