@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorestream.llm import frames, hilbert, language, simhash, tokens, vantage, warc
+from scorestream.llm import frames, hilbert, language, simhash, templates, tokens, vantage, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +76,11 @@ def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.curve_shards(frames.read_table(spark, sf_dir, "documents"))
 
 
+def op6_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = frames.read_table(spark, sf_dir, "benchmark", "item_id", "text")
+    return templates.contaminated(frames.documents(spark, sf_dir), items)
+
+
 def op7_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(frames.read_table(spark, sf_dir, "pages"))
 
@@ -86,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op3_token_counts": op3_token_counts,
     "op4_vantage_neighbours": op4_vantage_neighbours,
     "op5_hilbert_shards": op5_hilbert_shards,
+    "op6_template_leaks": op6_template_leaks,
     "op7_zip_warc": op7_zip_warc,
     "op8_piece_codec": op8_piece_codec,
 }
