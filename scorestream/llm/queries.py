@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorestream.llm import frames, hilbert, language, simhash, templates, tokens, vantage, warc
+from scorestream.llm import frames, hilbert, language, simhash, templates, tokens, toxicity, vantage, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +85,15 @@ def op7_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(frames.read_table(spark, sf_dir, "pages"))
 
 
+def op9_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = frames.documents(spark, sf_dir)
+    labels = frames.read_table(spark, sf_dir, "labels", "doc_id", "toxic")
+    scored = toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels))
+    return scored.select(
+        "doc_id", frames.in_held_out_fold(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_ppm_language": op1_ppm_language,
     "op2_simhash": op2_simhash,
@@ -94,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op6_template_leaks": op6_template_leaks,
     "op7_zip_warc": op7_zip_warc,
     "op8_piece_codec": op8_piece_codec,
+    "op9_string_kernel_toxicity": op9_string_kernel_toxicity,
 }
 
 ORACLES: dict[str, str] = {
