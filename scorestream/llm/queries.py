@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorestream.llm import frames, hilbert, language, simhash, templates, tokens, toxicity, vantage, warc
+from scorestream.llm import frames, hilbert, language, private, simhash, templates, tokens, toxicity, vantage, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +94,11 @@ def op9_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_skip_chain_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = frames.documents(spark, sf_dir)
+    return private.find_private(docs, private.fit_field(docs))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ppm_language": op1_ppm_language,
     "op2_simhash": op2_simhash,
@@ -104,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op7_zip_warc": op7_zip_warc,
     "op8_piece_codec": op8_piece_codec,
     "op9_string_kernel_toxicity": op9_string_kernel_toxicity,
+    "op10_skip_chain_private": op10_skip_chain_private,
 }
 
 ORACLES: dict[str, str] = {
