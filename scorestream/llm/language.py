@@ -251,6 +251,25 @@ def identify(
     ).mapInArrow(score, f"doc_id {kind}, lang_pred string, score double, bits_per_byte double")
 
 
-def reads_as_language(lang_pred, bits_per_byte):
-    """Whether some tree codes the text better than writing its byte classes out."""
-    return (lang_pred != UNDETERMINED) & (bits_per_byte < UNIFORM_BITS)
+def with_language(
+    docs: DataFrame, trees: ContextTrees, text_column: str = "text", lang_column: str = "lang"
+) -> DataFrame:
+    """Rows whose text the best tree codes in fewer bits than its byte classes take, ``lang`` predicted.
+
+    Same columns and rows otherwise.  Texts are judged where they are read.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(trees)
+    text_at, lang_at = docs.columns.index(text_column), docs.columns.index(lang_column)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        names = pa.array(own.languages, pa.string())
+        for batch in batches:
+            raw, bounds = byte_buffers(batch.column(text_at))
+            bits = own.bits(raw, bounds)
+            kept = pa.array(bits.min(axis=1) < UNIFORM_BITS * np.diff(bounds))
+            columns = list(batch.columns)
+            columns[lang_at] = names.take(pa.array(bits.argmin(axis=1)))
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names).filter(kept)
+
+    return docs.mapInArrow(judge, docs.schema)

@@ -28,6 +28,7 @@ from scorestream.llm.frames import capped_cache, keyed_text, texts_of
 CACHED = 400_000
 CACHED_CHARS = 40
 LIMIT = 1024
+ROWS_AT_ONCE = 500
 
 
 def byte_letters() -> list[str]:
@@ -304,3 +305,33 @@ def encode_decode(
     rows = keyed_text(docs, id_column, text_column)
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, (DIGESTS if digests else CODES).format(kind))
+
+
+def with_codes(docs: DataFrame, ranks: str, pattern: str, text_column: str = "text") -> DataFrame:
+    """All columns but the text, then n_tokens, ids (array) and whether decoding gives the text again.
+
+    A null text is empty.
+    """
+    model = piece_model(read_ranks(ranks))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    kept = [name for name in docs.columns if name != text_column]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = PieceCodec(inverse_tokens(shared.value), shared.value, pattern)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                codes, right = [], []
+                for text in texts_of(part, text_column):
+                    codes.append(codec.encode(text))
+                    right.append(codec.decode(codes[-1]) == text.encode("utf-8"))
+                sizes = np.array([len(ids) // 4 for ids in codes], np.int64)
+                bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(bounds, np.frombuffer(b"".join(codes), "<u4").astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(name) for name in kept), pa.array(sizes), ids, pa.array(right)],
+                    [*kept, "n_tokens", "ids", "round_trip"],
+                )
+
+    fields = ", ".join(f"`{name}` {docs.schema[name].dataType.simpleString()}" for name in kept)
+    return docs.mapInArrow(run, f"{fields}, n_tokens long, ids array<int>, round_trip boolean")
