@@ -39,8 +39,8 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item, verbatim or with other values."""
     items = frames.read_table(spark, sf_dir, "benchmark", "item_id", "text")
-    leaks = templates.contaminated(docs, items).select(F.col("doc_id").alias("leaking")).distinct()
-    return docs.join(leaks, F.col("doc_id") == F.col("leaking"), "left_anti")
+    leaks = templates.contaminated(docs, items).select("doc_id").distinct()
+    return docs.join(leaks, docs["doc_id"] == leaks["doc_id"], "left_anti")
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -164,10 +164,10 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 def without_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Rows of the documents that name their group, whole and with all columns; the others go.
 
-    Of repeated rows with the same id one stays, the first by text.  Rows with a
-    null id belong to no group and stay.
+    Of repeated rows with the same id one stays.  Rows with a null id belong to
+    no group and stay.
     """
     groups = near_copies(docs, id_column, text_column)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept_id")).distinct()
-    once = docs.join(kept, F.col(id_column) == F.col("kept_id"), "left_semi").dropDuplicates([id_column])
+    kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    once = docs.join(kept, docs[id_column] == kept["doc_id"], "left_semi").dropDuplicates([id_column])
     return once.unionByName(docs.where(F.col(id_column).isNull()))
