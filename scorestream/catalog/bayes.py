@@ -12,7 +12,7 @@ from scorestream.operators.features import SHAPE_COLUMNS, VOTE_COLUMNS, text_vot
 from scorestream.operators.naive_bayes import GaussianNaiveBayes, TermNaiveBayes
 from scorestream.operators.split import is_train
 from scorestream.operators.terms import english_stop_words
-from scorestream.functions.numeric import vote_interactions, with_interactions
+from scorestream.functions.numeric import real_product, vote_interactions, with_interactions
 
 #: Multinomial model of the language of a document, fitted on the training rows.
 #: CTEs: classes, vocab, idf, params (term, label, log_prob).
@@ -212,7 +212,7 @@ def ablation_nb(spark, sf_dir):
     """One job with term features only, and with counts and their products too."""
     rows = text_votes(documents(spark, sf_dir, "lang"))
     terms = vote_interactions(*VOTE_COLUMNS)
-    rows = with_interactions(rows, terms)
+    rows = with_interactions(rows, terms, real_product)
     train = rows.where(is_train("doc_id"))
     tables = []
     for name, numeric in (("text", []), ("full", [*VOTE_COLUMNS, *terms])):

@@ -36,7 +36,7 @@ squeezed AS (
 
 def document_shape(spark, sf_dir):
     """Four measurements per document; the text is dropped before any shuffle."""
-    documents = spread(table(spark, sf_dir, "documents", "doc_id", "lang", "text"), "doc_id")
+    documents = spread(table(spark, sf_dir, "documents", "doc_id", "lang", "text"))
     return features.text_shape(documents).drop("text")
 
 

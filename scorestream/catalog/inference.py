@@ -41,7 +41,7 @@ def _best_sql(score: str) -> str:
 
 
 def _vectors(spark, sf_dir):
-    return spread(table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding"), "vec_id")
+    return spread(table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding"))
 
 
 def _as_vector(payload):

@@ -33,7 +33,7 @@ raw_tokens AS (
 
 
 def documents(spark, sf_dir, *columns):
-    return spread(table(spark, sf_dir, "documents", "doc_id", *columns, "text"), "doc_id")
+    return spread(table(spark, sf_dir, "documents", "doc_id", *columns, "text"))
 
 
 def words():
@@ -86,8 +86,12 @@ def _counts(spark, sf_dir):
     return terms.term_counts(documents(spark, sf_dir), words(), terms.english_stop_words())
 
 
+def _stored_counts(spark, sf_dir):
+    return materialize(_counts(spark, sf_dir), "term-counts")
+
+
 def _weighted_vocabulary(spark, sf_dir):
-    frequent = terms.vocabulary(_counts(spark, sf_dir))
+    frequent = terms.vocabulary(_stored_counts(spark, sf_dir))
     return terms.with_idf(frequent, table(spark, sf_dir, "documents", "doc_id"))
 
 
@@ -105,7 +109,7 @@ def term_doc_freq(spark, sf_dir):
 )
 def vocabulary_top(spark, sf_dir):
     """At most 10,000 terms that occur in five documents or more."""
-    return terms.vocabulary(_counts(spark, sf_dir))
+    return terms.vocabulary(_stored_counts(spark, sf_dir))
 
 
 @query(

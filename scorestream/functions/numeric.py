@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -26,10 +26,17 @@ def product(*columns: Column) -> Column:
     return reduce(_int_product, columns)
 
 
-def with_interactions(df: DataFrame, terms: Mapping[str, Sequence[str]]) -> DataFrame:
+def real_product(*columns: Column) -> Column:
+    """Product in double precision: null on a null factor only, of whatever size."""
+    return reduce(lambda left, right: left * right, (c.cast("double") for c in columns))
+
+
+def with_interactions(
+    df: DataFrame, terms: Mapping[str, Sequence[str]], combine: Callable[..., Column] = product
+) -> DataFrame:
     """Add one product column per entry: output name -> factor columns."""
     return df.withColumns(
-        {name: product(*(F.col(c) for c in factors)) for name, factors in terms.items()}
+        {name: combine(*(F.col(c) for c in factors)) for name, factors in terms.items()}
     )
 
 
@@ -41,7 +48,3 @@ def vote_interactions(first: str, second: str, third: str) -> dict[str, tuple[st
         f"{third}_{second}": (third, second),
         f"{first}_{second}_{third}": (first, third, second),
     }
-
-
-def percent(value: Column) -> Column:
-    return value * F.lit(100.0)

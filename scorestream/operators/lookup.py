@@ -23,17 +23,19 @@ def lookup_join(
     how: str,
     table_bytes: int,
     limit: int = BROADCAST_BYTES,
-    salts: int = 32,
+    salts: int | None = None,
 ) -> DataFrame:
     """``big`` joined with ``table`` on one column, ``how`` in inner or left.
 
     Below the limit the table is broadcast.  Above it both sides are shuffled
     on (key, salt): each table row is repeated once per salt, so that the rows
-    of a key which holds a large share of ``big`` go to ``salts`` tasks.  The
+    of a key which holds a large share of ``big`` go to ``salts`` tasks, by default as many
+    as there are shuffle partitions.  The
     salt is a hash of the whole row, so ``big`` should carry a row identifier.
     """
     if table_bytes <= limit:
         return big.join(F.broadcast(table), on, how)
+    salts = salts or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")
     repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = big.withColumn("_salt", salt)

@@ -80,7 +80,9 @@ class TermNaiveBayes:
             for row in rows
         ]
         parts = {f"n_{i}": F.col(label) == F.lit(c) for i, c in enumerate(classes)}
-        counts = term_counts(train.where(F.col(label).isNotNull()), tokens, stop_words, parts)
+        counts = materialize(
+            term_counts(train.where(F.col(label).isNotNull()), tokens, stop_words, parts), "term-counts"
+        )
         weight = inverse_document_frequency(F.lit(n_rows)) if use_idf else F.lit(1.0)
         terms = materialize(
             vocabulary(counts, vocab_size, min_df)

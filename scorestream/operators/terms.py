@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scorestream.operators.lookup import lookup_join, measured_bytes
 
@@ -67,10 +67,20 @@ def term_counts(
 def vocabulary(counts: DataFrame, vocab_size: int = 10000, min_df: int = 5) -> DataFrame:
     """The most frequent terms that occur in enough documents.
 
-    Ties at the cut go to the alphabetically first term.
+    Ties at the cut go to the alphabetically first term.  The cut is found on
+    the number of terms per frequency, a small table; terms above it are kept
+    where they are, and only those that tie with it are ordered.  ``counts`` is
+    read three times, so pass a written table.
     """
     frequent = counts.where(F.col("df") >= min_df)
-    return frequent.orderBy(F.desc("cf"), F.asc("term")).limit(vocab_size)
+    falling = Window.orderBy(F.desc("cf")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    steps = frequent.groupBy("cf").agg(F.count("*").alias("n")).withColumn("so_far", F.sum("n").over(falling))
+    reached = steps.where(F.col("so_far") >= vocab_size).orderBy(F.desc("cf")).first()
+    if reached is None:
+        return frequent
+    above = frequent.where(F.col("cf") > reached["cf"])
+    tied = frequent.where(F.col("cf") == reached["cf"]).orderBy("term")
+    return above.unionByName(tied.limit(vocab_size - (reached["so_far"] - reached["n"])))
 
 
 def inverse_document_frequency(n_documents: Column, df: str = "df") -> Column:
@@ -84,16 +94,40 @@ def with_idf(terms: DataFrame, documents: DataFrame) -> DataFrame:
     return terms.withColumn("idf", inverse_document_frequency(n_documents))
 
 
+def counted_terms(df: DataFrame, key: str, tokens: Column) -> DataFrame:
+    """One row per document and distinct term, with its count ``tf``; counted inside the row.
+
+    Sorted tokens fall into runs; the length of a run is where the next begins
+    less where it begins.  No lambda captures a column, because what it captures
+    is evaluated for every element.
+    """
+    rows = df.select(key, F.array_sort(tokens).alias("_ordered")).where(F.size("_ordered") > 0)
+    ordered = F.col("_ordered")
+    before = F.concat(F.array(F.lit(None).cast("string")), F.slice(ordered, 1, F.size(ordered) - 1))
+    marked = F.zip_with(ordered, before, lambda t, b: F.struct(t.alias("term"), (~t.eqNullSafe(b)).alias("first")))
+    placed = F.transform(marked, lambda x, i: F.struct(x["term"].alias("term"), i.alias("at"), x["first"].alias("first")))
+    rows = rows.select(key, F.filter(placed, lambda x: x["first"]).alias("_runs"), F.size(ordered).alias("_n"))
+    runs = F.col("_runs")
+    end = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.col("_n").alias("at"), F.lit(True).alias("first")))
+    following = F.concat(F.slice(runs, 2, F.size(runs)), end)
+    counted = F.zip_with(
+        runs, following, lambda x, y: F.struct(x["term"].alias("term"), (y["at"] - x["at"]).cast("bigint").alias("tf"))
+    )
+    return rows.select(key, F.inline(counted))
+
+
 def term_weights(
     df: DataFrame, key: str, tokens: Column, idf: DataFrame, stop_words: Sequence[str] = ()
 ) -> DataFrame:
     """Per document and vocabulary term: count, idf and their product.
 
-    ``idf`` is a written table; its measured size decides how it is joined.
+    Terms are counted inside the row, so nothing is shuffled as long as ``idf``,
+    a written table, fits the look-up limit; above it (document, term) rows meet
+    the table by salted keys.
     """
-    rows = explode_terms(df, tokens, [key], stop_words)
+    rows = counted_terms(df, key, tokens)
+    if stop_words:
+        rows = rows.where(~F.col("term").isin(list(stop_words)))
     table = idf.select("term", "idf")
-    counted = lookup_join(rows, table, "term", "inner", measured_bytes(table)).groupBy(
-        key, "term", "idf"
-    ).agg(F.count("*").alias("tf"))
-    return counted.select(key, "term", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    joined = lookup_join(rows, table, "term", "inner", measured_bytes(table))
+    return joined.select(key, "term", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))

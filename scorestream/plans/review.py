@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
-from scorestream.functions.numeric import vote_interactions, with_interactions
+from scorestream.functions.numeric import real_product, vote_interactions, with_interactions
 from scorestream.operators import classifiers, metrics
 from scorestream.operators.clean import above_up_to, all_between, clean_rows, drop_null_rows
 from scorestream.operators.features import assemble, index_label, term_stages, token_stages
@@ -47,8 +47,8 @@ class ReviewPlan:
     def prepare(self, df: DataFrame) -> DataFrame:
         """Clean and filter rows and add the products of the counts.
 
-        Rows without a text or with a null number (a product out of range) go
-        here, by plain column tests.  Left to the assembler, the test would be
+        Rows without a text or with a null count go here, by plain column
+        tests; the products are doubles, so no count is too large.  Left to the assembler, the test would be
         on the vector, and every text would be tokenised once more to make it.
         """
         rows = clean_rows(df) if self.clean else df
@@ -56,7 +56,7 @@ class ReviewPlan:
             rows = rows.where(above_up_to(self.target, *self.target_range))
         if self.vote_range:
             rows = rows.where(all_between(self.votes, *self.vote_range))
-        wide = with_interactions(rows, self._products())
+        wide = with_interactions(rows, self._products(), real_product)
         return drop_null_rows(wide, [self.text, *self.numeric_columns()])
 
     def _products(self) -> dict[str, tuple[str, ...]]:

@@ -41,15 +41,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition a plain scan whose splits are fewer than the cores.
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a plain scan whose splits are fewer than the cores, by no key.
 
     Text work is CPU-bound, so one unsplittable input file would keep one core
     busy and the rest idle.  Inputs with enough splits pass through unshuffled.
+    No later operator gains a partitioning by it, so plans are alike at any size.
     Only call it on a scan with narrow operators: asking for the partition
     count of a plan with shuffles would run them.
     """
     wanted = df.sparkSession.sparkContext.defaultParallelism
     if df.isStreaming or df.rdd.getNumPartitions() >= wanted:
         return df
-    return df.repartition(wanted, *keys)
+    return df.repartition(wanted)
