@@ -15,7 +15,7 @@ from scorestream.sources.sinks import delimited_messages, json_messages, publish
 from scorestream.streaming.messages import (
     parse_delimited_messages,
     parse_json_messages,
-    split_json_messages,
+    judged_json_messages,
 )
 from scorestream.workspace import scratch_path
 
@@ -273,21 +273,41 @@ def json_publish(spark, sf_dir):
 @query(
     "json_dead_letter",
     """
-    SELECT event_type <> 'error' AS parsed, count(*) AS n_messages FROM events GROUP BY 1
+    SELECT event_type <> 'error' AND event_id % 10 > 2 AS parsed, count(*) AS n_messages
+    FROM events GROUP BY 1
     """,
 )
 def json_dead_letter(spark, sf_dir):
-    """Truncated messages are set apart with their text."""
+    """Truncated, null, empty and blank messages are set apart; every message counts once."""
     events = table(spark, sf_dir, "events", *_EVENT.names)
     messages = events.select(
-        F.when(F.col("event_type") == "error", F.lit('{"event_id": '))
+        F.when(F.col("event_id") % 10 == 0, F.lit(None).cast("string"))
+        .when(F.col("event_id") % 10 == 1, F.lit(""))
+        .when(F.col("event_id") % 10 == 2, F.lit("  "))
+        .when(F.col("event_type") == "error", F.lit('{"event_id": '))
         .otherwise(F.to_json(F.struct(*_EVENT.names)))
         .cast("binary")
         .alias("value")
     )
-    good, bad = split_json_messages(messages, _EVENT)
-    flags = union_all(good.select(F.lit(True).alias("parsed")), bad.select(F.lit(False)))
-    return flags.groupBy("parsed").agg(F.count("*").alias("n_messages"))
+    judged = judged_json_messages(messages, _EVENT)
+    return judged.groupBy("parsed").agg(F.count("*").alias("n_messages"))
+
+
+@query(
+    "delimited_text_messages",
+    """
+    SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 7 = 1 THEN ''
+                        ELSE '"' || text || '", ' || chr(10) || lang END AS body, n_chars
+    FROM documents
+    """,
+)
+def delimited_text_messages(spark, sf_dir):
+    """Texts with delimiters, quotes and line breaks, nulls and empty ones, as delimited messages."""
+    text = F.concat(F.lit('"'), "text", F.lit('", \n'), "lang")
+    body = F.when(F.col("doc_id") % 7 == 0, None).when(F.col("doc_id") % 7 == 1, "").otherwise(text)
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "n_chars")
+    rows = docs.select("doc_id", body.alias("body"), "n_chars")
+    return parse_delimited_messages(delimited_messages(rows, "doc_id", "|"), rows.schema, delimiter="|")
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as T
 
-from scorestream.catalog.bayes import GAUSSIAN_SQL, TERM_PREDICTION_SQL, fit_shape
+from scorestream.catalog.bayes import _CONFUSION_SQL, _METRICS_SQL, GAUSSIAN_SQL, TERM_PREDICTION_SQL, fit_shape
 from scorestream.catalog.columns import stored_shape
 from scorestream.catalog.learn import language_models, language_name
 from scorestream.catalog.registry import query, table
@@ -19,6 +19,7 @@ from scorestream.sources.sinks import (
 from scorestream.sources.streams import arriving_files, message_replay
 from scorestream.streaming.arrivals import file_lines
 from scorestream.streaming.messages import parse_delimited_messages, parse_json_messages
+from scorestream.streaming.monitor import TimingListener, batch_timing
 from scorestream.streaming.scoring import (
     last_snapshot,
     metric_stream,
@@ -51,22 +52,22 @@ _TEXT = T.StructType(
 )
 
 
-def _replay(spark, messages, name):
+def _replay(spark, messages, name, files=_FILES_PER_TRIGGER):
     """Publish messages to a folder and read the folder as a stream."""
     path = scratch_path(spark, name)
     publish(messages, path, options={"maxRecordsPerFile": _ROWS_PER_FILE})
-    return message_replay(spark, path, _FILES_PER_TRIGGER)
+    return message_replay(spark, path, files)
 
 
 def _finish(streaming_query):
     streaming_query.awaitTermination()
 
 
-def _scored_shapes(spark, sf_dir):
+def _scored_shapes(spark, sf_dir, files=_FILES_PER_TRIGGER):
     """A stream of measurement messages with predicted language and flag."""
     rows = stored_shape(spark, sf_dir)
     model = fit_shape(rows)
-    stream = parse_json_messages(_replay(spark, json_messages(rows, "doc_id"), "shapes"), _SHAPE)
+    stream = parse_json_messages(_replay(spark, json_messages(rows, "doc_id"), "shapes", files), _SHAPE)
     return with_correct(model.predict(stream), "lang")
 
 
@@ -110,19 +111,40 @@ def stream_accuracy_by_class(spark, sf_dir):
     "stream_batch_metrics",
     f"""
     WITH {GAUSSIAN_SQL}
-    SELECT count(*) AS n_rows, sum(CASE WHEN prediction = lang THEN 1 ELSE 0 END)::BIGINT AS n_correct
-    FROM predicted
+    , confusion AS ({_CONFUSION_SQL}), {_METRICS_SQL}
+    SELECT n_rows, round(accuracy, 6) AS accuracy, round(weighted_f1, 6) AS weighted_f1 FROM measured
     """,
 )
 def stream_batch_metrics(spark, sf_dir):
-    """Metrics of every micro-batch, added up over the batches."""
+    """Metrics of a micro-batch that holds every message."""
     path = scratch_path(spark, "batch-metrics")
-    _finish(metric_stream(_scored_shapes(spark, sf_dir), path, "lang", trigger=_ALL))
-    batches = spark.read.parquet(path).groupBy("batch_id").pivot("metric", ["n_rows", "accuracy"])
-    wide = batches.agg(F.first("value"))
+    _finish(metric_stream(_scored_shapes(spark, sf_dir, None), path, "lang", trigger=_ALL))
+    names = ["n_rows", "accuracy", "weighted_f1"]
+    wide = spark.read.parquet(path).groupBy("batch_id").pivot("metric", names).agg(F.first("value"))
+    return wide.select(
+        F.col("n_rows").cast("bigint").alias("n_rows"), *(F.round(c, 6).alias(c) for c in names[1:])
+    )
+
+
+@query("stream_batch_timing", "SELECT count(*) AS n_rows, true AS timed FROM events")
+def stream_batch_timing(spark, sf_dir):
+    """Rows and times of every micro-batch, from the table the listener writes."""
+    events = table(spark, sf_dir, "events", *_EVENT.names)
+    stream = parse_json_messages(_replay(spark, json_messages(events, "event_id"), "timed", 1), _EVENT)
+    path = scratch_path(spark, "timing")
+    listener = TimingListener(spark, path)
+    spark.streams.addListener(listener)
+    try:
+        running = stream_sink(stream, "parquet", path=scratch_path(spark, "timed-events"), trigger=_ALL)
+        _finish(running)
+        listener.wait(running)
+    finally:
+        spark.streams.removeListener(listener)
+    timing = batch_timing(spark, path, running.id)
+    wide = timing.groupBy("batch_id").pivot("metric", ["count", "elapsed"]).agg(F.first("value"))
     return wide.agg(
-        F.sum("n_rows").cast("bigint").alias("n_rows"),
-        F.sum(F.round(F.col("n_rows") * F.col("accuracy")).cast("bigint")).alias("n_correct"),
+        F.sum("count").cast("bigint").alias("n_rows"),
+        F.bool_and((F.col("count") == 0) | (F.col("elapsed") > 0)).alias("timed"),
     )
 
 

@@ -46,21 +46,37 @@ def parse_json(text: Column, schema: T.StructType, corrupt: str | None = None) -
 
 
 def delimited_item(text: Column, position: int, delimiter: str = ",") -> Column:
-    """Item of a delimited string; negative positions count from the end.
+    """Item of a plainly delimited string; negative positions count from the end.
 
-    Out of range is null, also under ANSI mode.
+    The delimiter is taken literally and quotes mean nothing; for quoted items
+    use ``parse_delimited``.  Out of range is null, also under ANSI mode.
     """
-    parts = F.split(text, delimiter)
+    parts = F.split(text, "\\Q" + delimiter.replace("\\E", "\\E\\\\E\\Q") + "\\E")
     if position < 0:
         return F.try_element_at(parts, F.lit(position))
     return F.get(parts, F.lit(position))
 
 
-def parse_delimited(
-    text: Column, schema: T.StructType, delimiter: str = ","
-) -> Sequence[Column]:
-    """Typed columns of a delimited string, null where the cast fails."""
-    return [
-        delimited_item(text, i, delimiter).try_cast(field.dataType).alias(field.name)
-        for i, field in enumerate(schema.fields)
-    ]
+#: Stands for null in a delimited line; a control character that no text item consists of.
+NULL_ITEM = "\x01"
+
+
+def _delimited_options(delimiter: str) -> dict[str, str]:
+    return {
+        "sep": delimiter,
+        "escape": '"',
+        "nullValue": NULL_ITEM,
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    }
+
+
+def row_delimited(columns: Sequence[str | Column], delimiter: str = ",") -> Column:
+    """One delimited line per row: items quoted where needed, null marked apart from empty text."""
+    return F.to_csv(F.struct(*columns), _delimited_options(delimiter))
+
+
+def parse_delimited(text: Column, schema: T.StructType, delimiter: str = ",") -> Column:
+    """A delimited line as a struct; missing and unfit items are null."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    return F.from_csv(text, fields, _delimited_options(delimiter))

@@ -69,7 +69,7 @@ def cross_validator(
     label: str = "label",
     folds: int = 3,
     fold_column: str | None = None,
-    parallelism: int = 2,
+    parallelism: int = 5,
 ) -> CrossValidator:
     """Grid search; the metric that picks the winner is always named."""
     builder = ParamGridBuilder()

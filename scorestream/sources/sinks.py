@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from scorestream.functions.encode import encode_utf8, row_json
-from scorestream.workspace import scratch_path
+from scorestream.functions.encode import encode_utf8, row_delimited, row_json
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -33,9 +33,8 @@ def json_messages(df: DataFrame, key: str | None = None) -> DataFrame:
 
 
 def delimited_messages(df: DataFrame, key: str | None = None, delimiter: str = ",") -> DataFrame:
-    """Each row as one delimited line; nulls become empty items."""
-    items = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
-    return _envelope(df, key, F.concat_ws(delimiter, *items))
+    """Each row as one delimited line, quoted where an item needs it; nulls stay nulls."""
+    return _envelope(df, key, row_delimited(df.columns, delimiter))
 
 
 def line_messages(df: DataFrame, line: str = "value") -> DataFrame:
@@ -70,7 +69,16 @@ def stream_sink(
     trigger: Mapping[str, Any] | None = None,
     options: Mapping[str, Any] | None = None,
 ) -> StreamingQuery:
-    """Start a query into a console, memory, file or topic sink."""
+    """Start a query into a console, memory, file or topic sink.
+
+    A file sink keeps its state below its own path unless told otherwise, so
+    that the same call goes on where it stopped.  Console and memory sinks are
+    for looking only and may do without; any other sink needs a ``checkpoint``.
+    """
+    if checkpoint is None and path:
+        checkpoint = state_folder(path)
+    if checkpoint is None and fmt not in ("console", "memory"):
+        raise ValueError(f"a stream into {fmt!r} needs a checkpoint folder")
     writer = _writer(df, mode, name, checkpoint, trigger).format(fmt).options(**(options or {}))
     return writer.start(path) if path else writer.start()
 
@@ -78,12 +86,16 @@ def stream_sink(
 def batch_sink(
     df: DataFrame,
     handle: Callable[[DataFrame, int], None],
+    checkpoint: str,
     mode: str = "append",
     name: str | None = None,
-    checkpoint: str | None = None,
     trigger: Mapping[str, Any] | None = None,
 ) -> StreamingQuery:
-    """Start a query that hands every micro-batch to a function."""
+    """Start a query that hands every micro-batch to a function.
+
+    Offsets, state and batch numbers live in ``checkpoint``; started again with
+    the same folder, the query goes on where it stopped.
+    """
     return _writer(df, mode, name, checkpoint, trigger).foreachBatch(handle).start()
 
 
@@ -94,13 +106,24 @@ def _writer(
     checkpoint: str | None,
     trigger: Mapping[str, Any] | None,
 ) -> DataStreamWriter:
-    location = checkpoint or scratch_path(df.sparkSession, "stream-state")
-    writer = df.writeStream.outputMode(mode).option("checkpointLocation", location)
+    writer = df.writeStream.outputMode(mode)
+    if checkpoint:
+        writer = writer.option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     return writer.trigger(**trigger) if trigger else writer
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Store one micro-batch in its own folder, so that a replay replaces it."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def state_folder(path: str) -> str:
+    """Where a stream that writes to ``path`` keeps its state; readers of ``path`` pass over it."""
+    return f"{path.rstrip('/')}/_state"
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int, checkpoint: str) -> None:
+    """Store one micro-batch in a folder named by its number and by the stream's checkpoint.
+
+    A replay of the batch replaces it; a stream with another checkpoint, whose
+    numbers begin at 0 again, writes beside it.
+    """
+    stream = hashlib.sha1(checkpoint.encode("utf-8")).hexdigest()[:12]
+    df.write.mode("overwrite").parquet(f"{path}/stream=s{stream}/batch_id={batch_id}")

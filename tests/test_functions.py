@@ -20,7 +20,7 @@ def test_split_items_never_fail(spark):
 def test_parse_delimited_casts_or_nulls(spark):
     schema = T.StructType().add("x", T.DoubleType()).add("n", T.IntegerType()).add("s", T.StringType())
     df = spark.createDataFrame([("1.5,2,a",), ("bad,2",), ("",)], "v string")
-    rows = df.select(*encode.parse_delimited(F.col("v"), schema)).collect()
+    rows = df.select(encode.parse_delimited(F.col("v"), schema).alias("r")).select("r.*").collect()
     assert [tuple(r) for r in rows] == [(1.5, 2, "a"), (None, 2, None), (None, None, None)]
 
 

@@ -1,5 +1,3 @@
-import time
-
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -73,16 +71,44 @@ def test_metrics_of_each_micro_batch(spark, scored, replay, tmp_path):
     weighted = rows.groupBy("batch_id").pivot("metric", ["n_rows", "accuracy"]).agg(F.first("value"))
     total = weighted.agg(F.sum(F.col("n_rows") * F.col("accuracy") / 100)).first()[0]
     assert round(total) == right
-    timing = monitor.batch_timing(spark, query)
-    assert {r.metric for r in timing.collect()} == {"count", "elapsed", "latency", "rows_per_second"}
-    assert timing.where("metric = 'count'").agg(F.sum("value")).first()[0] == 90
+
+
+def test_a_restarted_stream_goes_on_and_another_writes_beside_it(spark, scored, tmp_path):
+    folder, path = str(tmp_path / "topic"), str(tmp_path / "metrics")
+
+    def run(**how):
+        stream = spark.readStream.schema(scored.schema).parquet(folder)
+        scoring.metric_stream(stream, path, "label", trigger=ALL, **how).awaitTermination()
+        accuracy = scoring.running_accuracy(scoring.with_correct(stream, "label"))
+        out = str(tmp_path / "running")
+        scoring.snapshot_stream(accuracy, out, trigger=ALL).awaitTermination()
+        return spark.read.parquet(path), scoring.last_snapshot(spark, out).first()
+
+    scored.coalesce(1).write.parquet(folder)
+    first, running = run()
+    assert (first.count(), running.n_rows) == (4, 90)
+    old = sorted(map(tuple, first.select("batch_id", "metric", "value").collect()))
+    scored.limit(10).coalesce(1).write.mode("append").parquet(folder)
+    second, running = run()
+    rows = sorted(map(tuple, second.select("batch_id", "metric", "value").collect()))
+    assert [r for r in rows if r[0] == 0] == old
+    assert (len(rows), running.n_rows) == (8, 100)
+    third, _ = run(checkpoint=str(tmp_path / "other"))
+    assert third.count() == 12 and third.select("stream").distinct().count() == 2
+    kept = third.join(second.select("stream").distinct(), "stream", "left_semi")
+    assert sorted(map(tuple, kept.select("batch_id", "metric", "value").collect())) == rows
+
+
+def test_a_stream_without_a_place_for_its_state_is_refused(replay):
+    with pytest.raises(ValueError):
+        sinks.stream_sink(replay, "kafka")
 
 
 def test_a_replayed_batch_replaces_itself(spark, scored, tmp_path):
     path = str(tmp_path / "again")
-    for _ in range(2):
-        sinks.write_batch(metrics.batch_metrics(scored, 4, "label").drop("batch_id"), path, 4)
-    assert spark.read.parquet(path).count() == 4
+    for state in ("a", "a", "b"):
+        sinks.write_batch(metrics.batch_metrics(scored, 4, "label").drop("batch_id"), path, 4, state)
+    assert spark.read.parquet(path).count() == 8
 
 
 def test_raw_and_scored_outputs(spark, scored, replay, tmp_path):
@@ -103,19 +129,22 @@ def test_memory_and_console_sinks(spark, replay):
     assert spark.table("seen_memory").count() == 90
 
 
-def test_listener_sees_batches(spark, replay, tmp_path):
-    listener = monitor.TimingListener()
+def test_timing_of_every_batch_by_query(spark, replay, tmp_path):
+    path = str(tmp_path / "timing")
+    listener = monitor.TimingListener(spark, path)
     spark.streams.addListener(listener)
     try:
-        query = sinks.stream_sink(replay, "parquet", path=str(tmp_path / "o"), trigger=ALL)
-        query.awaitTermination()
-        for _ in range(50):
-            if sum(v for _, m, v in listener.rows if m == "count") >= 90:
-                break
-            time.sleep(0.1)
+        queries = [sinks.stream_sink(replay, "parquet", path=str(tmp_path / o), trigger=ALL) for o in "ab"]
+        for query in queries:
+            query.awaitTermination()
+            assert listener.wait(query)
     finally:
         spark.streams.removeListener(listener)
-    assert sum(v for _, m, v in listener.rows if m == "count") == 90
+    for query in queries:
+        timing = monitor.batch_timing(spark, path, query.id)
+        assert {r.metric for r in timing.collect()} == {"count", "elapsed", "latency", "rows_per_second"}
+        assert timing.where("metric = 'count'").agg(F.sum("value")).first()[0] == 90
+    assert monitor.batch_timing(spark, path).where("metric = 'count'").agg(F.sum("value")).first()[0] == 180
 
 
 def test_delimited_and_broken_messages(spark):
@@ -124,11 +153,24 @@ def test_delimited_and_broken_messages(spark):
     )
     rows = messages.parse_delimited_messages(df, SCHEMA).collect()
     assert [tuple(r) for r in rows] == [(1, "a", "b"), (2, "a", None), (None, "y", "z")]
-    texts = [b'{"id": 1, "label": "a"}', b"{broken", b'{"id": "no"}']
-    df = spark.createDataFrame([(bytearray(t),) for t in texts], "value binary")
-    good, bad = messages.split_json_messages(df, SCHEMA)
-    assert [tuple(r) for r in good.collect()] == [(1, "a", None)]
-    assert {r.message for r in bad.collect()} == {"{broken", '{"id": "no"}'}
+    texts = [b'{"id": 1, "label": "a"}', b"{broken", b'{"id": "no"}', None, b"", b"  ", b"null", b"{}"]
+    rows = [(str(i), None if t is None else bytearray(t)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "key string, value binary")
+    good, bad = messages.split_json_messages(df, SCHEMA, keep=["key"])
+    assert sorted(map(tuple, good.collect())) == [("0", 1, "a", None), ("7", None, None, None)]
+    assert sorted((r.key, r.message) for r in bad.collect()) == [
+        ("1", "{broken"), ("2", '{"id": "no"}'), ("3", None), ("4", ""), ("5", "  "), ("6", "null")
+    ]
+
+
+@pytest.mark.parametrize("delimiter", [",", "|", "\t"])
+def test_delimited_items_survive_delimiters_quotes_and_breaks(spark, delimiter):
+    texts = ["x, y", 'say "hi"', "a\nb", "a|b\tc", "", None, "  padded ", "\\", "#", '"', ",,,"]
+    rows = [(i, t, "end") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id int, label string, other string")
+    sent = sinks.delimited_messages(df, "id", delimiter)
+    parsed = messages.parse_delimited_messages(sent, df.schema, delimiter=delimiter)
+    assert sorted(map(tuple, parsed.collect())) == rows
 
 
 def test_files_are_counted_as_they_arrive(spark, tmp_path):
