@@ -16,8 +16,8 @@ from scorestream.sources.sinks import (
     publish,
     stream_sink,
 )
-from scorestream.sources.streams import arriving_files, message_replay
-from scorestream.streaming.arrivals import file_lines
+from scorestream.sources.streams import message_replay, text_lines
+from scorestream.streaming.arrivals import file_lines_stream
 from scorestream.streaming.messages import parse_delimited_messages, parse_json_messages
 from scorestream.streaming.monitor import TimingListener, batch_timing
 from scorestream.streaming.scoring import (
@@ -224,18 +224,17 @@ def stream_csv_parse(spark, sf_dir):
 @query(
     "file_arrival_lines",
     """
-    SELECT (sum(strlen(html)) + count(*))::BIGINT AS n_bytes,
-           (sum(length(html) - length(replace(html, chr(10), ''))) + count(*))::BIGINT AS n_newlines
-    FROM pages
+    SELECT page_id % 8 AS bucket, (sum(strlen(html)) + count(*))::BIGINT AS n_bytes,
+           (sum(length(html) - length(replace(html, chr(10), ''))) + count(*) + 1)::BIGINT AS n_lines
+    FROM pages GROUP BY 1
     """,
 )
 def file_arrival_lines(spark, sf_dir):
-    """Files landing in a folder, their lines counted as they arrive."""
+    """Files landing in a folder, one per bucket of pages; the lines of each counted as it arrives."""
     folder = scratch_path(spark, "landing")
-    table(spark, sf_dir, "pages", "html").write.option("maxRecordsPerFile", 1000).text(folder)
-    counted = file_lines(arriving_files(spark, folder, "*.txt", _FILES_PER_TRIGGER))
-    per_file = _drained(spark, counted, "file-lines")
-    return per_file.agg(
-        F.sum("length").alias("n_bytes"),
-        F.sum((F.col("n_lines") - 1).cast("bigint")).alias("n_newlines"),
-    )
+    pages = table(spark, sf_dir, "pages", "page_id", "html").withColumn("bucket", F.col("page_id") % 8)
+    pages.repartition("bucket").select("bucket", "html").write.partitionBy("bucket").text(folder)
+    path = scratch_path(spark, "file-lines")
+    _finish(file_lines_stream(text_lines(spark, folder, "*.txt", 3), path, trigger=_ALL))
+    bucket = F.regexp_extract("path", "bucket=([0-9]+)", 1).cast("bigint").alias("bucket")
+    return spark.read.parquet(path).select(bucket, F.col("length").alias("n_bytes"), "n_lines")

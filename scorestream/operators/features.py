@@ -49,6 +49,18 @@ def assemble(columns: Sequence[str], output: str = "features", invalid: str = "e
     return VectorAssembler(inputCols=list(columns), outputCol=output, handleInvalid=invalid)
 
 
+def checked_labels(df: DataFrame, column: str, most: int = 1000) -> DataFrame:
+    """``df``, if its labels are few enough for the driver and for one literal map.
+
+    The indexer brings all labels to the driver; a column with more than
+    ``most`` values, such as a key taken for a label, is an error before that.
+    """
+    found = df.select(column).distinct().limit(most + 1).count()
+    if found > most:
+        raise ValueError(f"{column!r} has more than {most} values; it is no label")
+    return df
+
+
 def index_label(column: str, output: str = "label", invalid: str = "keep") -> StringIndexer:
     """Codes by falling frequency; unknown labels become one extra class."""
     return StringIndexer(inputCol=column, outputCol=output, handleInvalid=invalid)

@@ -64,11 +64,6 @@ def predict_udf(
     return predict
 
 
-def bytes_to_tensor(content: bytes, shape: Sequence[int]) -> np.ndarray:
-    """Raw bytes as an unsigned tensor of a fixed shape."""
-    return np.frombuffer(content, dtype=np.uint8).reshape(tuple(shape))
-
-
 def normalized_tensor_udf(
     shape: Sequence[int] = (32, 32, 3),
     mean: Sequence[float] = CHANNEL_MEAN,
@@ -76,20 +71,20 @@ def normalized_tensor_udf(
 ):
     """Column function: height-width-channel bytes -> channel-first floats.
 
-    Bytes are scaled to 0..1, then centred and scaled per channel.
+    Bytes are scaled to 0..1, then centred and scaled per channel, a whole batch
+    at a time.  A payload of another length than the shape's is null.
     """
     means = np.asarray(mean, dtype="float64")
     stds = np.asarray(std, dtype="float64")
+    size = int(np.prod(tuple(shape)))
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def normalize(contents: pd.Series) -> pd.Series:
-        def one(content: bytes | None):
-            if content is None:
-                return None
-            scaled = (bytes_to_tensor(content, shape) / 255.0 - means) / stds
-            return scaled.transpose(2, 0, 1).ravel().astype("float32")
-
-        return contents.map(one)
+        fits = contents[contents.str.len() == size]
+        raw = np.frombuffer(b"".join(fits), dtype=np.uint8).reshape((len(fits), *shape))
+        scaled = ((raw / 255.0 - means) / stds).transpose(0, 3, 1, 2).reshape(len(fits), size)
+        tensors = dict(zip(fits.index, scaled.astype("float32")))
+        return pd.Series([tensors.get(i) for i in contents.index], index=contents.index, dtype=object)
 
     return normalize
 
@@ -101,32 +96,54 @@ def text_payload_size(text: Column) -> Column:
     return F.struct(width.alias("width"), F.size(lines).alias("height"))
 
 
-def _header_size(content: bytes | None) -> tuple[int | None, int | None]:
-    """Width and height from a PNG, GIF or JPEG header; pixels are not decoded."""
-    if content is None:
-        return None, None
-    if content[:8] == b"\x89PNG\r\n\x1a\n" and len(content) >= 24:
-        return struct.unpack(">II", content[16:24])
-    if content[:4] == b"GIF8" and len(content) >= 10:
-        return struct.unpack("<HH", content[6:10])
-    if content[:2] == b"\xff\xd8":
-        at = 2
-        while at + 9 <= len(content) and content[at] == 0xFF:
-            marker, length = struct.unpack(">BH", content[at + 1 : at + 4])
-            if 0xC0 <= marker <= 0xCF and marker not in (0xC4, 0xC8, 0xCC):
-                height, width = struct.unpack(">HH", content[at + 5 : at + 9])
-                return width, height
-            at += 2 + length
+def _jpeg_size(content: bytes | None) -> tuple[int | None, int | None]:
+    """Width and height from the first frame header; any number of fill bytes may precede a marker."""
+    at = 2
+    while content is not None and at + 9 <= len(content) and content[at] == 0xFF:
+        marker = content[at + 1]
+        if marker == 0xFF:
+            at += 1
+            continue
+        if 0xC0 <= marker <= 0xCF and marker not in (0xC4, 0xC8, 0xCC):
+            height, width = struct.unpack(">HH", content[at + 5 : at + 9])
+            return width, height
+        at += 2 + struct.unpack(">H", content[at + 2 : at + 4])[0]
     return None, None
 
 
 @F.pandas_udf(IMAGE_SIZE)
-def image_size(contents: pd.Series) -> pd.DataFrame:
-    """Width and height of image bytes; null when the format is not known."""
-    sizes = pd.DataFrame(list(contents.map(_header_size)), columns=["width", "height"])
+def _jpeg_sizes(contents: pd.Series) -> pd.DataFrame:
+    sizes = pd.DataFrame(list(map(_jpeg_size, contents)), columns=["width", "height"])
     return sizes.astype("Int32")
 
 
+def image_size(content: str | Column) -> Column:
+    """Width and height from a PNG, GIF or JPEG header; null for other bytes.
+
+    Fixed positions are read by plain expressions; only JPEG headers, which have
+    to be walked, go to Python.
+    """
+    column = F.col(content) if isinstance(content, str) else content
+
+    def number(*positions: int) -> Column:
+        pieces = F.concat(*(F.hex(F.substring(column, p, 1)) for p in positions))
+        return F.conv(pieces, 16, 10).cast("bigint").try_cast("int")
+
+    def sized(width: Column, height: Column) -> Column:
+        return F.struct(width.alias("width"), height.alias("height"))
+
+    length = F.octet_length(column)
+    png = (F.hex(F.substring(column, 1, 8)) == "89504E470D0A1A0A") & (length >= 24)
+    gif = (F.hex(F.substring(column, 1, 4)) == "47494638") & (length >= 10)
+    jpeg = F.hex(F.substring(column, 1, 2)) == "FFD8"
+    walked = _jpeg_sizes(F.when(jpeg, column))
+    return (
+        F.when(png, sized(number(17, 18, 19, 20), number(21, 22, 23, 24)))
+        .when(gif, sized(number(8, 7), number(10, 9)))
+        .otherwise(sized(walked["width"], walked["height"]))
+    )
+
+
 def nearest_centroid(centroids: np.ndarray) -> Model:
     """Scores are negative Euclidean distances to the class centres."""
 

@@ -126,15 +126,10 @@ class TermNaiveBayes:
         )
         return self.terms.select("term", F.inline(per_class))
 
-    def class_parameters(self) -> DataFrame:
-        """(label, log_prior) rows of the fitted classes."""
-        spark = self.terms.sparkSession
-        return spark.createDataFrame(list(zip(self.classes, self.priors)), ["label", "log_prior"])
-
     def predict(
         self, df: DataFrame, key: str, tokens: Column, keep: Sequence[str] = ()
     ) -> DataFrame:
-        """Columns ``key``, ``keep`` and ``prediction``, one row per key.
+        """Columns ``key``, ``keep`` and ``prediction``, one row per key; keys must be unique.
 
         Tokens meet the weight table, then collapse to one row per document on
         the map side: the shuffle carries one number per class and document.

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from scorestream.functions.numeric import real_product, vote_interactions, with_interactions
 from scorestream.operators import classifiers, metrics
 from scorestream.operators.clean import above_up_to, all_between, clean_rows, drop_null_rows
-from scorestream.operators.features import assemble, index_label, term_stages, token_stages
+from scorestream.operators.features import assemble, checked_labels, index_label, term_stages, token_stages
 from scorestream.operators.split import is_train
 from scorestream.sources.artifacts import chain_models
 
@@ -90,7 +90,7 @@ class ReviewPlan:
     def fit(self, prepared: DataFrame) -> tuple[PipelineModel, PipelineModel]:
         """Feature pipeline and classifier, apart, so that they can be stored apart."""
         train = self.training_rows(prepared)
-        basis = prepared if self.fit_on == "all" else train
+        basis = checked_labels(prepared if self.fit_on == "all" else train, self.target)
         features = Pipeline(stages=self.feature_stages()).fit(basis)
         vectors = features.transform(train).select("label", "features")
         return features, Pipeline(stages=[self.classifier_stage()]).fit(vectors)

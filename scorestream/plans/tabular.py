@@ -11,7 +11,7 @@ from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame, functions as F
 
 from scorestream.operators import classifiers, metrics
-from scorestream.operators.features import assemble, index_label, principal_components, scale, unindex_label
+from scorestream.operators.features import assemble, checked_labels, index_label, principal_components, scale, unindex_label
 from scorestream.operators.split import fold_column, is_train
 
 
@@ -69,7 +69,7 @@ class TabularPlan:
 
     def _indexed(self, df: DataFrame):
         """Label codes are learnt once and used by every stage that needs them."""
-        return index_label(self.target).fit(df.select(self.target))
+        return index_label(self.target).fit(checked_labels(df.select(self.target), self.target))
 
     def fit(self, df: DataFrame) -> PipelineModel:
         train = df.where(is_train(self.key, self.train_percent))

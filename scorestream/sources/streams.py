@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from scorestream.schemas import MESSAGE_ENVELOPE
 
@@ -78,3 +78,22 @@ def arriving_files(
         ]
     )
     return stream_source(spark, "binaryFile", path, schema, options)
+
+
+def text_lines(
+    spark: SparkSession, path: str, glob: str | None = None, files_per_trigger: int | None = None
+) -> DataFrame:
+    """(path, length, line) of text files as they land; large files are split over tasks.
+
+    The engine's file sources pass over files of length zero, so these have no row.
+    """
+    options: dict[str, Any] = {"recursiveFileLookup": True, "lineSep": "\n"}
+    if glob:
+        options["pathGlobFilter"] = glob
+    if files_per_trigger:
+        options["maxFilesPerTrigger"] = files_per_trigger
+    schema = T.StructType([T.StructField("value", T.StringType())])
+    lines = stream_source(spark, "text", path, schema, options)
+    return lines.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"), F.col("value").alias("line")
+    )

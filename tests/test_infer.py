@@ -19,11 +19,12 @@ def png(width, height):
 
 def test_image_sizes(spark):
     gif = b"GIF89a" + struct.pack("<HH", 7, 9) + b"\x00"
-    data = [jpeg(320, 240), png(5, 6), gif, b"text", b"", None]
+    filled = b"\xff\xd8\xff\xff" + jpeg(32, 16)[2:]
+    data = [jpeg(320, 240), png(5, 6), gif, b"text", b"", None, filled, b"\xff\xd8\xff", png(1, 2)[:20]]
     df = spark.createDataFrame([(i, d and bytearray(d)) for i, d in enumerate(data)], "i int, c binary")
     got = {r.i: (r.s.width, r.s.height) for r in df.select("i", infer.image_size("c").alias("s")).collect()}
     none = (None, None)
-    assert got == {0: (320, 240), 1: (5, 6), 2: (7, 9), 3: none, 4: none, 5: none}
+    assert got == {0: (320, 240), 1: (5, 6), 2: (7, 9), 3: none, 4: none, 5: none, 6: (32, 16), 7: none, 8: none}
 
 
 def test_text_payload_size(spark):
@@ -34,12 +35,12 @@ def test_text_payload_size(spark):
 
 def test_tensor_is_scaled_per_channel(spark):
     pixels = np.arange(32 * 32 * 3, dtype=np.uint32).astype(np.uint8)
-    df = spark.createDataFrame([(bytearray(pixels.tobytes()),), (None,)], "c binary")
+    df = spark.createDataFrame([(bytearray(pixels.tobytes()),), (None,), (bytearray(b"short"),)], "c binary")
     rows = df.select(infer.normalized_tensor_udf()("c")).collect()
     cube = pixels.reshape(32, 32, 3) / 255.0
     expected = (cube - [0.485, 0.456, 0.406]) / [0.229, 0.224, 0.225]
     assert np.allclose(rows[0][0], expected.transpose(2, 0, 1).ravel(), atol=1e-6)
-    assert rows[1][0] is None
+    assert rows[1][0] is None and rows[2][0] is None
 
 
 @pytest.mark.parametrize("batch_size", [1, 7, 64])

@@ -215,3 +215,45 @@ def test_review_jobs(spark, documents, tmp_path, how):
         artifacts.save_model(model, f"{tmp_path}/{i}")
     loaded = [PipelineModel.load(f"{tmp_path}/{i}") for i in range(2)]
     assert sorted(plan.score(loaded, rows).collect()) == sorted(scored.collect())
+
+
+def test_large_counts_are_trained_on_and_scored(spark):
+    rows = [(i, float(i % 2 + 1), f"word{i % 2} text", 1 + i % 3, i % 4, 2) for i in range(200)]
+    rows += [(1000 + i, 1.0, "word0 text", 5000, 5000, 5000) for i in range(20)]
+    names = "doc_id long, stars double, text string, funny int, useful int, cool int"
+    plan = ReviewPlan(key="doc_id", min_df=1, max_iter=5)
+    prepared = plan.prepare(spark.createDataFrame(rows, names))
+    assert prepared.count() == 220
+    assert prepared.where("funny_useful_cool = 125e9").count() == 20
+    scored = plan.score(plan.fit(prepared), prepared)
+    assert scored.where("doc_id >= 1000 AND part = 'train'").count() > 0 and scored.count() == 220
+
+
+def test_term_weights_shuffle_nothing(spark, documents, capsys):
+    counts = materialize(terms.term_counts(documents, words()), "counts")
+    idf = materialize(terms.with_idf(terms.vocabulary(counts, 500), documents), "idf")
+    source = spark.read.parquet(f"{SF}/documents.parquet")
+    weights = terms.term_weights(source, "doc_id", words(), idf)
+    weights.explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastExchange" in plan and "hashpartitioning" not in plan
+    grouped = source.select("doc_id", F.explode(words()).alias("term")).groupBy("doc_id", "term").count()
+    expected = grouped.join(idf.select("term"), "term").select("doc_id", "term", "count")
+    assert sorted(map(tuple, weights.select("doc_id", "term", "tf").collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_the_cut_of_a_vocabulary_equals_an_ordered_limit(spark):
+    rows = [(f"t{i:03d}", 1 + i % 7, 1 + i % 3) for i in range(200)]
+    counts = spark.createDataFrame(rows, "term string, cf long, df long")
+    kept = [r for r in rows if r[2] >= 2]
+    for size in (1, 20, 57, 100, 132, 133, 1000):
+        expected = sorted(kept, key=lambda r: (-r[1], r[0]))[:size]
+        assert sorted(map(tuple, terms.vocabulary(counts, size, 2).collect())) == sorted(expected)
+    assert terms.vocabulary(counts.limit(0), 5, 2).count() == 0
+
+
+def test_too_many_labels_are_refused(spark):
+    df = spark.createDataFrame([(i, f"label {i}") for i in range(30)], "id int, label_text string")
+    with pytest.raises(ValueError):
+        features.checked_labels(df, "label_text", most=20)
+    assert features.checked_labels(df, "label_text", most=30) is df

@@ -75,3 +75,21 @@ def test_salted_join_equals_broadcast_join(spark, how):
     small = lookup.lookup_join(big, table, "term", how, 100)
     salted = lookup.lookup_join(big, table, "term", how, 100, limit=10, salts=4)
     assert rows(small.select("id", "term", "w")) == rows(salted.select("id", "term", "w"))
+
+
+def test_previews_show_schema_and_first_rows(spark, capsys):
+    from scorestream.sources import sinks
+
+    df = spark.createDataFrame([(i, "x" * 30) for i in range(5)], "k int, s string").orderBy("k")
+    sinks.preview(df, 2, truncate=True)
+    shown = capsys.readouterr().out
+    assert "k: integer" in shown and "..." in shown and "only showing top 2 rows" in shown
+    assert sets.first_rows(df, 3).count() == 3
+
+
+def test_random_parts_are_disjoint_and_add_up(spark):
+    df = spark.range(1000)
+    left, right = split.random_split(df, (0.7, 0.3), seed=5)
+    assert left.count() + right.count() == 1000 and left.intersect(right).count() == 0
+    again, _ = split.random_split(df, (0.7, 0.3), seed=5)
+    assert rows(again) == rows(left)

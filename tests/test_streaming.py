@@ -176,18 +176,20 @@ def test_delimited_items_survive_delimiters_quotes_and_breaks(spark, delimiter):
 def test_files_are_counted_as_they_arrive(spark, tmp_path):
     folder = tmp_path / "landing"
     folder.mkdir()
-    contents = {"a.txt": "x\n" * 100, "b.txt": "one line", "c.txt": ""}
+    contents = {"a.txt": "x\n" * 100, "b.txt": "one line", "c.txt": "", "d.txt": "\n", "e.txt": "ü\r\n\nz"}
     for name, content in contents.items():
         (folder / name).write_text(content)
     (folder / "skip.log").write_text("a\nb")
-    stream = streams.arriving_files(spark, str(folder), "*.txt", files_per_trigger=1)
+    stream = streams.text_lines(spark, str(folder), "*.txt", files_per_trigger=1)
     out = str(tmp_path / "lines")
-    query = sinks.stream_sink(arrivals.file_lines(stream), "parquet", path=out, trigger=ALL)
-    query.awaitTermination()
+    arrivals.file_lines_stream(stream, out, trigger=ALL).awaitTermination()
     del contents["c.txt"]  # the engine's file sources pass over empty files
     got = {r.path.rsplit("/", 1)[1]: (r.length, r.n_lines) for r in spark.read.parquet(out).collect()}
-    assert got == {"a.txt": (200, 101), "b.txt": (8, 1)}
+    assert got == {"a.txt": (200, 101), "b.txt": (8, 1), "d.txt": (1, 2), "e.txt": (6, 3)}
     assert got.keys() == contents.keys()
+    whole = str(tmp_path / "whole")
+    sinks.stream_sink(streams.arriving_files(spark, str(folder), "*.txt"), "parquet", path=whole, trigger=ALL).awaitTermination()
+    assert spark.read.parquet(whole).agg(F.sum("length")).first()[0] == sum(len(c.encode()) for c in contents.values())
     files = spark.read.format("binaryFile").load(str(folder))
     paths = arrivals.event_paths(arrivals.arrival_events(files))
     assert sorted(paths.collect()) == sorted(files.select("path").collect())
