@@ -80,8 +80,8 @@ def _syndrome(value: Column) -> Column:
 
 
 def _flip(value: Column, position: Column) -> Column:
-    """``value`` with the bit at ``position`` turned over; position 0 turns none."""
-    return value.bitwiseXOR(F.expr("0L") + F.call_function("shiftleft", F.lit(1).cast("long"), position - 1))
+    """``value`` with the bit at ``position``, counted from 1, turned over."""
+    return value.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), position - 1))
 
 
 def _anchors(value: Column, syndrome: Column) -> Column:

@@ -1,15 +1,15 @@
 import random
+import re
 
 import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 from scorestream.llm import components, simhash
 
 
 def brute_fingerprint(text):
-    words = [w for w in __import__("re").split("[\x20\x09-\x0d]+", text or "") if w]
+    words = [w for w in re.split("[\x20\x09-\x0d]+", text or "") if w]
     words = ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in words]
     if not words:
         return 0
