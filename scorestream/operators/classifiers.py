@@ -52,8 +52,11 @@ def perceptron(
     )
 
 
-def one_vs_rest(base: Estimator, features: str = "features", label: str = "label") -> OneVsRest:
-    return OneVsRest(classifier=base, featuresCol=features, labelCol=label)
+def one_vs_rest(
+    base: Estimator, features: str = "features", label: str = "label", parallelism: int = 4
+) -> OneVsRest:
+    """One model per class, several fitted at a time: each is many small jobs, bound by latency."""
+    return OneVsRest(classifier=base, featuresCol=features, labelCol=label, parallelism=parallelism)
 
 
 def evaluator(metric: str, label: str = "label", prediction: str = "prediction") -> MulticlassClassificationEvaluator:
