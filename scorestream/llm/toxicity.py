@@ -9,9 +9,10 @@ digits, and signs inside a word go, and letters spelled one by one are joined.
 Labels belong to documents, insults to single words of their sentences.  A word is
 a positive example if it is found in documents labelled 1 beyond chance, a
 negative one if not and a document labelled 0 has it.  The machine is trained on both through
-Nyström landmarks; as the kernel has explicit features it collapses to one weight
-per triple.  A logistic curve turns a document's worst word, and number and
-density of such words, into a score.
+Nyström landmarks, then once more with the negative words that it takes most for
+insults added.  As the kernel has explicit features it collapses to one weight per
+triple.  A logistic curve turns a document's worst word, and number and density of
+such words, into a score.
 """
 
 from __future__ import annotations
@@ -171,7 +172,7 @@ class ToxicWords:
 
 
 def fit_machine(
-    positive: list[str], times: list[int], negative: list[str], landmarks: int, penalty: float = 1e-3
+    positive: list[str], times: list[int], negative: list[str], landmarks: int, penalty: float = 1e-4
 ) -> ToxicWords:
     """Squared-hinge machine over Nyström features, classes weighing the same; finite Newton steps."""
     words = positive + negative
@@ -262,15 +263,17 @@ def fit_toxicity(
     labels: DataFrame,
     sample_documents: int = 3000,
     sample_words: int = 12_000,
-    landmarks: int = 128,
+    hard_words: int = 2000,
+    landmarks: int = 256,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> ToxicWords | float:
     """Train on at most about ``sample_documents`` documents of either label, outside the held-out fold.
 
     Documents are chosen by a hash of their id and read whole; of their words
-    ``sample_words`` negative ones, chosen by hash, and all positive ones up to
-    that number reach the driver.  Without both labels, or without a word that
+    ``sample_words`` negative ones, chosen by hash, the ``hard_words`` negative
+    ones of highest margin, and all positive ones up to ``sample_words`` reach
+    the driver.  Without both labels, or without a word that
     tells them apart, the share of label 1 is returned for a score.
     """
     texts, sizes = _sample(keyed_text(docs, id_column, text_column), labels, sample_documents)
@@ -292,13 +295,17 @@ def fit_toxicity(
     counted = materialize(counted.withColumn("certain", odds - ERRORS * error), "toxic-evidence")
     positive = counted.where(F.col("certain") >= EVIDENCE).orderBy(F.desc("certain"), "word").limit(sample_words)
     positive = positive.select("word", "in_ones").collect()
-    negative = counted.where((F.col("in_zeros") > 0) & (F.col("certain") < EVIDENCE))
-    negative = negative.orderBy(F.xxhash64("word"), "word").limit(sample_words).select("word").collect()
+    harmless = counted.where((F.col("in_zeros") > 0) & (F.col("certain") < EVIDENCE)).select("word")
+    negative = harmless.orderBy(F.xxhash64("word"), "word").limit(sample_words).collect()
     if not positive or not negative:
         return prior
-    machine = fit_machine(
-        [r["word"] for r in positive], [r["in_ones"] for r in positive], [r["word"] for r in negative], landmarks
-    )
+    insults, times = [r["word"] for r in positive], [r["in_ones"] for r in positive]
+    easy = [r["word"] for r in negative]
+    machine = fit_machine(insults, times, easy, landmarks)
+    mistaken = _word_margins(harmless, machine).where(F.col("margin") > 0)
+    hard = [r["word"] for r in mistaken.orderBy(F.desc("margin"), "word").limit(hard_words).collect()]
+    if hard:
+        machine = fit_machine(insults, times, list(dict.fromkeys(hard + easy)), landmarks)
     judged = _judged(texts.select("doc_id", "text"), machine).join(texts.select("doc_id", "toxic").distinct(), "doc_id")
     judged = judged.toArrow()
     signs = np.stack([judged.column(c).to_numpy() for c in ("worst", "many", "dense")], axis=1)
@@ -306,6 +313,18 @@ def fit_toxicity(
     return machine
 
 
+def _word_margins(words: DataFrame, machine: ToxicWords) -> DataFrame:
+    """(word, margin) of folded words."""
+    shared = words.sparkSession.sparkContext.broadcast(machine)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            margins = shared.value.word_margins(batch.column("word").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(margins)], ["word", "margin"])
+
+    return words.mapInArrow(run, "word string, margin double")
+
+
 def _judged(texts: DataFrame, machine: ToxicWords) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(machine)
 

@@ -83,3 +83,11 @@ def test_one_label_only_gives_its_share(spark):
         assert share == float(label)
         assert {r["score"] for r in toxicity.score_toxicity(docs, share).collect()} == {float(label)}
     assert toxicity.fit_toxicity(docs, labels.limit(0)) == 0.0
+
+
+def test_mistaken_words_are_found_in_all_negative_ones(spark, machine):
+    words = ["trash", "the", "tr", "", "grash"]
+    found = toxicity._word_margins(spark.createDataFrame([(w,) for w in words], "word string"), machine).collect()
+    expected = dict(zip(words, machine.word_margins(words)))
+    assert {r["word"]: r["margin"] for r in found} == pytest.approx(expected)
+    assert expected["trash"] > 0.5 > expected["the"]
