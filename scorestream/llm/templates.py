@@ -1,7 +1,9 @@
 """Benchmark decontamination by canonical templates.
 
 Numbers, names and units become typed placeholders, so that a question asked
-anew with other values has the same template.  Windows of eight template tokens
+anew with other values has the same template.  A capitalised word that opens a
+sentence may be a name or not: windows are hashed in both readings of it.
+Windows of eight template tokens
 of the benchmark are joined by hash with those of the documents.  A join alone
 also finds texts that merely share a form; so the values in the slots are
 compared along each alignment: one value of the benchmark must stand for one
@@ -12,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -65,10 +68,15 @@ class Codes(dict):
 
 
 def template(text: str, codes: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(template codes, values, whether a slot) of the tokens of a text.
+    """(template codes, values, whether a slot) of the tokens of a text, opening words as they stand."""
+    return tokens_of(text, codes)[:3]
 
-    Names are words with one capital at the front anywhere but at the start of a
-    sentence or line; units are unit words right after a number.
+
+def tokens_of(text: str, codes: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(template codes, values, whether a slot, whether perhaps a name) of the tokens of a text.
+
+    Names are words with one capital at the front; at the start of a sentence or
+    line such a word is perhaps one.  Units are unit words right after a number.
     """
     found = np.array(list(map(codes.__getitem__, TOKEN.findall(text))), np.uint64)
     kind = found & np.uint64(7)
@@ -77,30 +85,67 @@ def template(text: str, codes: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray
     found, kind, opens = found[words], kind[words], opens[words]
     values = found & ~np.uint64(7)
     number = kind == NUMBER
-    name = (kind == CAPITALISED) & ~opens
+    capital = kind == CAPITALISED
+    name = capital & ~opens
     unit = (kind == UNIT) & np.r_[False, number[:-1]][: len(found)]
     out = np.where(number, NUMBER_SLOT, np.where(name, NAME_SLOT, np.where(unit, UNIT_SLOT, values)))
-    return out, values, number | name | unit
+    return out, values, number | name | unit, capital & opens
+
+
+def _mixed(sums: np.ndarray) -> np.ndarray:
+    hashes = sums ^ sums >> np.uint64(29)
+    hashes *= np.uint64(0xBF58476D1CE4E5B9)
+    hashes ^= hashes >> np.uint64(32)
+    return hashes
+
+
+def _in_window(marks: np.ndarray) -> np.ndarray:
+    total = np.r_[0, np.cumsum(marks)]
+    return total[WINDOW:] - total[:-WINDOW]
 
 
 def window_hashes(codes: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(positions, hashes) of windows with at least ``LITERALS`` tokens that are no slots."""
+    return next(readings(codes, slots, np.zeros(len(codes), bool)))[:2]
+
+
+def readings(
+    codes: np.ndarray, slots: np.ndarray, openers: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(positions, hashes, offsets of openers read as names) of windows, one choice of openers at a time.
+
+    The first has no opener as a name.  In each reading at least ``LITERALS``
+    tokens of a window are no slots.
+    """
     count = len(codes) - WINDOW + 1
     if count <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    hashes = np.zeros(count, np.uint64)
+        yield np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros((0, 0), np.int64)
+        return
+    sums = np.zeros(count, np.uint64)
     for k in range(WINDOW):
-        hashes += codes[k : k + count] * FACTORS[k]
-    hashes ^= hashes >> np.uint64(29)
-    hashes *= np.uint64(0xBF58476D1CE4E5B9)
-    hashes ^= hashes >> np.uint64(32)
-    filled = np.r_[0, np.cumsum(slots)]
-    good = np.flatnonzero(filled[WINDOW:] - filled[:-WINDOW] <= WINDOW - LITERALS)
-    return good, hashes[good]
+        sums += codes[k : k + count] * FACTORS[k]
+    filled = _in_window(slots)
+    good = np.flatnonzero(filled <= WINDOW - LITERALS)
+    yield good, _mixed(sums[good]), np.zeros((len(good), 0), np.int64)
+    unsure = _in_window(openers)[good]
+    opener_at = np.flatnonzero(openers)
+    for k in range(1, unsure.max(initial=0) + 1):
+        at = good[unsure == k]
+        if not len(at):
+            continue
+        places = opener_at[np.searchsorted(opener_at, at)[:, None] + np.arange(k)]
+        offsets = places - at[:, None]
+        change = (NAME_SLOT - codes[places]) * FACTORS[offsets]
+        room = WINDOW - LITERALS - filled[at]
+        for size in range(1, min(k, WINDOW - LITERALS) + 1):
+            fits = np.flatnonzero(room >= size)
+            for chosen in map(list, combinations(range(k), size)):
+                named = sums[at[fits]] + change[fits][:, chosen].sum(axis=1, dtype=np.uint64)
+                yield at[fits], _mixed(named), offsets[fits][:, chosen]
 
 
-WINDOWS = "hash long, position int, slots array<struct<at:int,value:long>>"
-SLOTS = pa.list_(pa.struct([("at", pa.int32()), ("value", pa.int64())]))
+WINDOWS = "hash long, position int, slots array<struct<at:int,value:long,opener:boolean>>"
+SLOTS = pa.list_(pa.struct([("at", pa.int32()), ("value", pa.int64()), ("opener", pa.bool_())]))
 
 
 def _windows(docs: DataFrame, kept=None) -> DataFrame:
@@ -115,20 +160,21 @@ def _windows(docs: DataFrame, kept=None) -> DataFrame:
             owners: list[int] = []
             for owner, text in enumerate(texts_of(batch)):
                 capped_cache(codes, MEMO)
-                out, values, slots = template(text, codes)
-                positions, hashes = window_hashes(out, slots)
-                if bits is not None and len(hashes):
-                    hit = bits[hashes >> np.uint64(6) & np.uint64(len(bits) - 1)]
-                    hit = (hit >> (hashes & np.uint64(63)) & np.uint64(1)).astype(bool)
-                    positions, hashes = positions[hit], hashes[hit]
-                for position, code in zip(positions.tolist(), hashes.view(np.int64).tolist()):
-                    places = np.flatnonzero(slots[position : position + WINDOW])
-                    held = values[position + places].view(np.int64)
-                    rows.append((code, position, [{"at": a, "value": v} for a, v in zip(places.tolist(), held.tolist())]))
-                    owners.append(owner)
-                if len(rows) > 20_000:
-                    yield _batch(keys, owners, rows)
-                    rows, owners = [], []
+                out, values, slots, openers = tokens_of(text, codes)
+                for positions, hashes, named in readings(out, slots, openers):
+                    if bits is not None and len(hashes):
+                        hit = bits[hashes >> np.uint64(6) & np.uint64(len(bits) - 1)]
+                        hit = (hit >> (hashes & np.uint64(63)) & np.uint64(1)).astype(bool)
+                        positions, hashes, named = positions[hit], hashes[hit], named[hit]
+                    for position, code, own in zip(positions.tolist(), hashes.view(np.int64).tolist(), named.tolist()):
+                        places = np.flatnonzero(slots[position : position + WINDOW]).tolist()
+                        places = sorted(places + own)
+                        held = values[position : position + WINDOW].view(np.int64).tolist()
+                        rows.append((code, position, [{"at": a, "value": held[a], "opener": a in own} for a in places]))
+                        owners.append(owner)
+                    if len(rows) > 20_000:
+                        yield _batch(keys, owners, rows)
+                        rows, owners = [], []
             if rows:
                 yield _batch(keys, owners, rows)
 
@@ -175,6 +221,11 @@ def contaminated(
     a window that has four plain words, are no more than a phrase and match
     nothing; null and empty texts on either side match nothing; null ids take
     no part; repeated rows count once.
+
+    A slot is an opener if it opens a sentence on either side.  An opener with
+    the same word on both sides is no slot.  Another word in its place must
+    stand for it throughout; where it does not, it is no name, and only the
+    windows that read it as one are dropped.
     """
     items = keyed_text(benchmark, item_column, item_text_column).dropna(subset=["doc_id"])
     own = materialize(_windows(items).withColumnRenamed("key", "item_id"), "benchmark-windows")
@@ -188,19 +239,38 @@ def contaminated(
     both = F.zip_with(
         "item_slots",
         "slots",
-        lambda i, d: F.struct((F.col("item_position") + i["at"]).alias("at"), i["value"].alias("item"), d["value"].alias("doc")),
+        lambda i, d: F.struct(
+            (F.col("item_position") + i["at"]).alias("at"),
+            i["value"].alias("item"),
+            d["value"].alias("doc"),
+            (i["opener"] | d["opener"]).alias("opener"),
+        ),
     )
     aligned = pairs.groupBy(
         F.col("key").alias("doc_id"), "item_id", (F.col("position") - F.col("item_position")).alias("shift")
-    ).agg(
-        F.collect_set("item_position").alias("positions"),
-        F.array_distinct(F.flatten(F.collect_set(both))).alias("slots"),
+    ).agg(F.collect_set(F.struct(F.col("item_position").alias("position"), both.alias("slots"))).alias("found"))
+    pair = lambda s: F.struct(s["item"], s["doc"])
+    aligned = aligned.withColumn("slots", F.array_distinct(F.flatten("found.slots")))
+    aligned = aligned.withColumn("values", F.array_distinct(F.transform("slots", pair)))
+    sure = F.array_distinct(F.transform(F.filter("slots", lambda s: ~s["opener"]), pair))
+    consistent = (F.size(sure) == F.size(F.array_distinct(F.transform(sure, lambda s: s["item"])))) & (
+        F.size(sure) == F.size(F.array_distinct(F.transform(sure, lambda s: s["doc"])))
+    )
+    renamed = F.array_distinct(
+        F.transform(F.filter("slots", lambda s: s["opener"] & (s["item"] != s["doc"])), pair)
+    )
+    refused = F.filter(
+        renamed,
+        lambda s: F.exists("values", lambda v: (v["item"] == s["item"]) != (v["doc"] == s["doc"])),
     )
-    values = F.array_distinct(F.transform("slots", lambda s: F.struct(s["item"], s["doc"])))
-    consistent = (F.size(values) == F.size(F.array_distinct(F.transform("slots", lambda s: s["item"])))) & (
-        F.size(values) == F.size(F.array_distinct(F.transform("slots", lambda s: s["doc"])))
+    aligned = aligned.where(consistent).withColumn("refused", refused)
+    fits = lambda w: ~F.exists(w["slots"], lambda s: s["opener"] & F.array_contains("refused", pair(s)))
+    aligned = aligned.withColumn("found", F.filter("found", fits)).where(F.size("found") > 0)
+    slots = F.filter(
+        F.array_distinct(F.flatten("found.slots")), lambda s: ~s["opener"] | (s["item"] != s["doc"])
     )
-    aligned = aligned.where(consistent).withColumn("same", ~F.exists("slots", lambda s: s["item"] != s["doc"]))
+    aligned = aligned.select("doc_id", "item_id", F.col("found.position").alias("positions"), slots.alias("slots"))
+    aligned = aligned.withColumn("same", ~F.exists("slots", lambda s: s["item"] != s["doc"]))
     held = aligned.groupBy("doc_id", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("positions")))).alias("windows"),
         F.max(F.size("slots")).alias("slots"),

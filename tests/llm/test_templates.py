@@ -1,4 +1,7 @@
 import re
+from itertools import combinations
+
+import numpy as np
 
 from scorestream.llm import templates
 
@@ -58,3 +61,49 @@ def test_the_filter_keeps_every_window(spark):
     assert list(positions) == [0, 1, 2]
     again = templates.window_hashes(out[1:9], slots[1:9])[1]
     assert again[0] == hashes[1] and len(set(hashes)) == 3
+
+
+TOM = (
+    "Tom has 3 red apples in a basket. Tom buys 4 more apples at the market. "
+    "Tom gives 2 of them to a friend. Tom eats 5 of them at home. How many apples are left?"
+)
+WORKER = (
+    "Sara works 5 hours a day in the town library. Sara earns 12 dollars for each hour of work. "
+    "Sara spends 20 dollars on food every day. Sara saves all that is left of it. "
+    "How much money does the worker save in 6 days?"
+)
+
+
+def test_names_that_open_sentences_may_change(spark):
+    anna = TOM.replace("Tom", "Anna").replace("3", "7").replace("4", "9").replace("2 of", "8 of")
+    peter = WORKER.replace("Sara", "Peter").replace("5 hours", "7 hours").replace("12", "15").replace("20", "31").replace("6 days", "9 days")
+    mixed = TOM.replace("Tom has", "Anna has").replace("Tom buys", "Rita buys").replace("Tom gives", "Paul gives").replace("Tom eats", "Olga eats")
+    documents = [(1, anna, "", 0), (2, "Well. " + peter, "", 0), (3, TOM, "", 0), (4, mixed, "", 0)]
+    found = leaks(spark, documents, [(8, TOM, "", 0), (9, WORKER, "", 0)])
+    assert found == {(1, 8): "reparameterised", (2, 9): "reparameterised", (3, 8): "verbatim"}
+
+
+def test_an_opening_word_that_is_no_name_costs_its_own_windows_only(spark):
+    item = "The red box holds many small things that nobody ever counts or sorts. The blue box is the one that people like to open first of all."
+    other = item.replace("The red", "A red")
+    lowered = "he said that " + item[0].lower() + item[1:].replace(". The", " and so the")
+    found = leaks(spark, [(1, other, "", 0), (2, lowered, "", 0)], [(9, item, "", 0)])
+    assert set(found) >= {(1, 9)}
+
+
+def test_readings_of_a_window_are_all_choices_of_openers():
+    rng = np.random.default_rng(4)
+    codes = rng.integers(64, 1 << 62, 30).astype(np.uint64) & ~np.uint64(7)
+    openers, slots = rng.random(30) < 0.4, rng.random(30) < 0.2
+    slots &= ~openers
+    seen = {(int(p), tuple(o)): int(h) for at, hs, own in templates.readings(codes, slots, openers) for p, h, o in zip(at, hs, own.tolist())}
+    expected = {}
+    for p in range(30 - templates.WINDOW + 1):
+        here = [k for k in range(templates.WINDOW) if openers[p + k]]
+        for n in range(len(here) + 1):
+            for own in combinations(here, n):
+                if slots[p : p + templates.WINDOW].sum() + n <= templates.WINDOW - templates.LITERALS:
+                    read = codes.copy()
+                    read[[p + k for k in own]] = templates.NAME_SLOT
+                    expected[p, own] = int(templates.window_hashes(read[p : p + templates.WINDOW], np.zeros(templates.WINDOW, bool))[1][0])
+    assert seen == expected
