@@ -8,8 +8,11 @@ part); loopy message passing carries labels along both.  So a phone number that
 once stands with its country prefix is also found where it stands without.
 Potentials are learned from what the base patterns find in a sample.
 
-A string that occurs many times is linked from each occurrence to the next, not
-to all others, so that a document's graph grows with its length only.
+All strings that share a key meet in one hub, so that any two are two steps apart
+and a document's graph grows with its length only.  What the base patterns have
+decided is observed: where it stands among the strings of a key, the hub is known,
+and each other string is linked with it directly.  Links are learned from each
+string and the next that shares a key.
 """
 
 from __future__ import annotations
@@ -46,7 +49,9 @@ CLAMP = 30.0
 #: Log odds of "none" where nothing is known of a string's form.
 PRIOR = 1.0
 BOUND = 4.0
-ROUNDS = 20
+#: Messages of a document stop when none changes by more; loops that never settle stop at the bound.
+TOLERANCE = 1e-4
+MOST_ROUNDS = 2000
 CERTAIN = 0.8
 NODES_AT_ONCE = 50_000
 
@@ -170,6 +175,45 @@ def links_of(nodes: list[Node]) -> tuple[list[tuple[int, int]], list[tuple[int,
     return near, skip
 
 
+def graph_of(nodes: list[Node]) -> tuple[list, list, int, list, list]:
+    """(near pairs, skip pairs, hubs, near evidence, skip evidence) of strings the base patterns left open.
+
+    Hubs are numbered after the nodes.  Evidence is (node, observed label).
+    """
+    near, seen_near, skip, seen_skip, hubs = [], [], [], [], 0
+    for a, b in links_of(nodes)[0]:
+        one, other = nodes[a].label, nodes[b].label
+        if one == other == NONE:
+            near.append((a, b))
+        elif other == NONE:
+            seen_near.append((b, one))
+        elif one == NONE:
+            seen_near.append((a, other))
+    members: dict[str, list[int]] = {}
+    for i, node in enumerate(nodes):
+        for key in node.keys:
+            members.setdefault(key, []).append(i)
+    for group in sorted({tuple(m) for m in members.values() if len(m) > 1}):
+        labels = sorted({nodes[i].label for i in group} - {NONE})
+        open_ones = [i for i in group if nodes[i].label == NONE]
+        if labels:
+            seen_skip += [(i, label) for i in open_ones for label in labels]
+        elif len(group) == 2:
+            skip.append(group)
+        else:
+            skip += [(i, len(nodes) + hubs) for i in group]
+            hubs += 1
+    return near, sorted(set(skip)), hubs, seen_near, seen_skip
+
+
+def _along(belief: np.ndarray, potential: np.ndarray) -> np.ndarray:
+    """Messages over links: what a belief says of the label at the other end."""
+    inward = belief[:, :, None] + potential
+    top = inward.max(axis=1)
+    fresh = top + np.log(np.exp(inward - top[:, None, :]).sum(axis=1))
+    return fresh - fresh.max(axis=1, keepdims=True)
+
+
 @dataclass
 class Field:
     """Learned potentials: labels per feature, and pairs of labels along either sort of link."""
@@ -188,30 +232,39 @@ class Field:
         bounded = np.clip(total - total.max(), -BOUND, 0)
         return np.where(np.isin(np.arange(LABELS), node.allowed), bounded, -CLAMP)
 
-    def marginals(self, unary: np.ndarray, near: np.ndarray, skip: np.ndarray) -> np.ndarray:
-        """Label probabilities of all nodes by loopy message passing, damped by half."""
-        pairs = np.concatenate([near, skip, near[:, ::-1], skip[:, ::-1]])
-        if not len(pairs):
-            belief = unary
-        else:
-            one = np.concatenate(
-                [np.broadcast_to(self.near, (len(near), LABELS, LABELS)), np.broadcast_to(self.skip, (len(skip), LABELS, LABELS))]
-            )
-            potential = np.concatenate([one, one.transpose(0, 2, 1)])
-            half = len(pairs) // 2
-            back = np.r_[np.arange(half, 2 * half), np.arange(half)]
-            message = np.zeros((len(pairs), LABELS))
-            for _ in range(ROUNDS):
-                belief = unary.copy()
-                np.add.at(belief, pairs[:, 1], message)
-                inward = (belief[pairs[:, 0]] - message[back])[:, :, None] + potential
-                top = inward.max(axis=1)
-                fresh = top + np.log(np.exp(inward - top[:, None, :]).sum(axis=1))
-                fresh -= fresh.max(axis=1, keepdims=True)
-                message = (message + fresh) / 2
-            belief = unary.copy()
-            np.add.at(belief, pairs[:, 1], message)
-        belief = np.exp(belief - belief.max(axis=1, keepdims=True))
+    def marginals(
+        self, unary: np.ndarray, near: np.ndarray, skip: np.ndarray, owner: np.ndarray | None = None
+    ) -> np.ndarray:
+        """Label probabilities of all nodes by loopy message passing, damped by half.
+
+        ``owner`` numbers the document of each node; the messages of a document
+        stop when they have settled, whatever other documents do.
+        """
+        owner = np.zeros(len(unary), np.int64) if owner is None else owner
+        a, b = np.concatenate([near, skip]).T
+        potential = np.concatenate(
+            [np.broadcast_to(self.near, (len(near), LABELS, LABELS)), np.broadcast_to(self.skip, (len(skip), LABELS, LABELS))]
+        )
+        there, back = np.zeros((2, len(a), LABELS))
+        settled = unary.copy()
+        for turn in range(1, MOST_ROUNDS + 1):
+            if not len(a):
+                break
+            belief = settled.copy()
+            np.add.at(belief, b, there)
+            np.add.at(belief, a, back)
+            fresh_there = _along(belief[a] - back, potential)
+            fresh_back = _along(belief[b] - there, potential.transpose(0, 2, 1))
+            moved = np.maximum(np.abs(fresh_there - there).max(axis=1), np.abs(fresh_back - back).max(axis=1))
+            there, back = (there + fresh_there) / 2, (back + fresh_back) / 2
+            restless = np.zeros(owner.max() + 1, bool)
+            restless[owner[a[moved > TOLERANCE]]] = True
+            live = restless[owner[a]] & (turn < MOST_ROUNDS)
+            if not live.all():
+                np.add.at(settled, b[~live], there[~live])
+                np.add.at(settled, a[~live], back[~live])
+                a, b, potential, there, back = a[live], b[live], potential[live], there[live], back[live]
+        belief = np.exp(settled - settled.max(axis=1, keepdims=True))
         return belief / belief.sum(axis=1, keepdims=True)
 
     def added(self, documents: list[list[Node]]) -> list[list[Span]]:
@@ -220,24 +273,30 @@ class Field:
         Documents whose strings are all decided by the base patterns need no inference.
         """
         out: list[list[Span]] = [[] for _ in documents]
-        nodes: list[tuple[int, Node]] = []
-        near, skip = [], []
+        nodes: list[tuple[int, Node | None]] = []
+        near, skip, seen_near, seen_skip = [], [], [], []
         for at, own in enumerate(documents):
             if all(node.label != NONE for node in own):
                 continue
             first = len(nodes)
-            nodes += [(at, node) for node in own]
-            own_near, own_skip = links_of(own)
+            own_near, own_skip, hubs, own_seen_near, own_seen_skip = graph_of(own)
+            nodes += [(at, node) for node in own] + [(at, None)] * hubs
             near += [(a + first, b + first) for a, b in own_near]
             skip += [(a + first, b + first) for a, b in own_skip]
+            seen_near += [(a + first, label) for a, label in own_seen_near]
+            seen_skip += [(a + first, label) for a, label in own_seen_skip]
         if nodes:
-            unary = np.array([self.unary(node) for _, node in nodes])
-            shaped = [np.array(x, np.int64).reshape(-1, 2) for x in (near, skip)]
-            chance = self.marginals(unary, *shaped)
+            unary = np.array([np.zeros(LABELS) if node is None else self.unary(node) for _, node in nodes])
+            near, skip, seen_near, seen_skip = (
+                np.array(x, np.int64).reshape(-1, 2) for x in (near, skip, seen_near, seen_skip)
+            )
+            np.add.at(unary, seen_near[:, 0], self.near[seen_near[:, 1]])
+            np.add.at(unary, seen_skip[:, 0], self.skip[seen_skip[:, 1]])
+            chance = self.marginals(unary, near, skip, np.array([at for at, _ in nodes]))
             label = chance.argmax(axis=1)
             for k in np.flatnonzero((label != NONE) & (chance.max(axis=1) >= CERTAIN)):
                 at, node = nodes[k]
-                if node.label == NONE:
+                if node is not None and node.label == NONE:
                     out[at].append((node.start, int(label[k]), node.end))
         return out
 

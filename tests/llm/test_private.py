@@ -57,6 +57,17 @@ def test_a_number_is_known_again_without_its_prefix(field):
     assert field.added([private.nodes_of("20240105 and 4111111111111112", [])]) == [[]]
 
 
+@pytest.mark.parametrize("first", [True, False])
+def test_a_number_is_known_again_however_often_it_stands(field, first):
+    bare = " ".join(f"Later, in part {'abcdefghij'[i % 10]} of the long report, call (132) 555-1352 again." for i in range(100))
+    text = " ".join(["Call +1 (132) 555-1352 now.", bare] if first else [bare, "Call +1 (132) 555-1352 now."])
+    (added,) = field.added([private.nodes_of(text, private.base_spans(text))])
+    assert len(added) == 100 and {(text[s:e], private.KINDS[k]) for s, k, e in added} == {("(132) 555-1352", "phone")}
+    other = "x 20240105 y " * 3
+    assert field.added([private.nodes_of(t, private.base_spans(t)) for t in (other, text)]) == [[], added]
+    assert field.added([private.nodes_of(bare, [])]) == [[]]
+
+
 def test_marginals_on_a_chain_equal_enumeration(field):
     rng = np.random.default_rng(1)
     unary = rng.normal(size=(4, private.LABELS))
@@ -77,6 +88,12 @@ def test_a_graph_grows_with_its_text_only():
     assert len(near) + len(skip) <= 4 * len(nodes)
 
 
+def test_a_graph_with_hubs_grows_with_its_text_only():
+    nodes = private.nodes_of("5551352999 " * 3000, [])
+    near, skip, hubs, seen_near, seen_skip = private.graph_of(nodes)
+    assert len(near) + len(skip) + hubs + len(seen_near) + len(seen_skip) <= 4 * len(nodes)
+
+
 def test_documents_with_edge_cases(spark, field):
     rows = [(1, None, 1), (2, "", 1), (3, "a@b.co 🎉 +1 (132) 555-1352 1.2.3.4", 1), (3, "a@b.co", 1), (None, "4111 1111 1111 1111", 1), (4, "x" * 300_000, 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_email int")
