@@ -2,9 +2,11 @@
 
 Numbers, names and units become typed placeholders, so that a question asked
 anew with other values has the same template.  A capitalised word that opens a
-sentence may be a name or not: windows are hashed in both readings of it.
-Windows of eight template tokens
-of the benchmark are joined by hash with those of the documents.  A join alone
+sentence may be a name or not: windows are hashed in both readings of it.  To
+spare the documents most of that, a window is first looked up once, with its
+opening words left out; only where the benchmark has a window that agrees
+elsewhere are its readings made.  Windows of eight template tokens of the
+benchmark are joined by hash with those of the documents.  A join alone
 also finds texts that merely share a form; so the values in the slots are
 compared along each alignment: one value of the benchmark must stand for one
 value of the document throughout, and two values for two.
@@ -14,7 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,21 @@ COVERAGE = 0.5
 BITS_PER_WINDOW = 64
 MOST_FILTER_BITS = 1 << 30
 MEMO = 400_000
-
-TOKEN = re.compile(r"[^\W\d_]+|\d[\d.,]*|[.!?\n]")
+#: Windows with more opening words than this are read in all ways without a look-up.
+OPENERS_LEFT_OUT = 2
+#: Characters of texts that are cut into windows together.
+CHARS_AT_ONCE = 1 << 20
+
+NUMBER_TOKEN = re.compile(r"(\d[\d.,]*)")
+_LETTER = re.compile(r"[^\W\d_]")
+#: Sentence marks to a full stop; every other ASCII byte that is no letter to a blank.
+_FOLD = bytes(46 if c in b".!?\n" else c if c > 127 or chr(c).isalpha() else 32 for c in range(256))
+LONGEST_QUANTITY = 4
+#: Fixed words for numbers; "one" is too often a pronoun.
+NUMBER_WORDS = frozenset(
+    "zero two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
+    "eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
+)
 UNITS = frozenset(
     "mm cm m km mg g kg t s sec min h hr hrs hour hours minute minutes second seconds day days week weeks "
     "month months year years inch inches foot feet ft yard yards mile miles ounce ounces oz pound pounds lb "
@@ -40,33 +55,61 @@ UNITS = frozenset(
     "euros eur usd meter meters metre metres gram grams ton tons kilometers kilometres mph kph".split()
 )
 #: The low three bits of a token's code are its kind.
-WORD, CAPITALISED, NUMBER, STOP, UNIT = range(5)
+WORD, CAPITALISED, NUMBER, STOP, UNIT, NUMBER_WORD = range(6)
 NUMBER_SLOT, NAME_SLOT, UNIT_SLOT = (np.uint64(8 * (k + 1)) for k in range(3))
+MASK_TERMS = np.uint64(0xD6E8FEB86659FD93) * np.arange(1 << WINDOW, dtype=np.uint64)
 FACTORS = np.uint64(0x9E3779B97F4A7C15) ** np.arange(1, WINDOW + 1, dtype=np.uint64)
 
 
-def token_code(token: str) -> int:
+def token_code(token: bytes) -> int:
     """64-bit code of a token without case, its kind in the low three bits."""
-    first = token[0]
-    if first in ".!?\n":
+    if token == b".":
         return STOP
-    folded = token.lower()
+    word = token.decode("utf-8", "surrogatepass")
+    folded = word.lower()
     kind = WORD
-    if first.isdigit():
-        folded, kind = token.strip(".,").replace(",", ""), NUMBER
+    if word[0].isdigit():
+        folded, kind = word.strip(".,").replace(",", ""), NUMBER
+    elif folded in NUMBER_WORDS:
+        kind = NUMBER_WORD
     elif folded in UNITS:
         kind = UNIT
-    elif first.isupper() and token[1:].islower():
+    elif word[0].isupper() and word[1:].islower():
         kind = CAPITALISED
     return xxhash.xxh64_intdigest(folded.encode("utf-8", "surrogatepass")) & ~7 | kind
 
 
 class Codes(dict):
-    def __missing__(self, token: str) -> int:
+    def __missing__(self, token: bytes) -> int:
         code = self[token] = token_code(token)
         return code
 
 
+class _Separators(dict):
+    """Whether a character beyond ASCII is no letter."""
+
+    def __missing__(self, character: str) -> bool:
+        found = self[character] = not (character.isascii() or _LETTER.match(character))
+        return found
+
+
+_separators = _Separators()
+
+
+def token_list(text: str) -> list[bytes]:
+    """Words, numbers and sentence marks (all as ``.``) of a text."""
+    out: list[bytes] = []
+    for place, part in enumerate(NUMBER_TOKEN.split(text)):
+        if place % 2:
+            out.append(part.encode())
+        elif part:
+            if not part.isascii():
+                for character in filter(_separators.__getitem__, set(part)):
+                    part = part.replace(character, " ")
+            out += part.encode("utf-8", "surrogatepass").translate(_FOLD).replace(b".", b" . ").split()
+    return out
+
+
 def template(text: str, codes: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(template codes, values, whether a slot) of the tokens of a text, opening words as they stand."""
     return tokens_of(text, codes)[:3]
@@ -76,20 +119,42 @@ def tokens_of(text: str, codes: dict) -> tuple[np.ndarray, np.ndarray, np.ndarra
     """(template codes, values, whether a slot, whether perhaps a name) of the tokens of a text.
 
     Names are words with one capital at the front; at the start of a sentence or
-    line such a word is perhaps one.  Units are unit words right after a number.
+    line such a word is perhaps one.  Units are unit words right after a number,
+    which may be written in words.
     """
-    found = np.array(list(map(codes.__getitem__, TOKEN.findall(text))), np.uint64)
+    return flat_tokens([text], codes)[:4]
+
+
+def _quantities(words: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Number words in runs of at most ``LONGEST_QUANTITY``; a longer run is an enumeration and stays words."""
+    at = np.flatnonzero(words)
+    begins = np.flatnonzero(np.r_[True, (np.diff(at) > 1) | (np.diff(owner[at]) != 0)][: len(at)])
+    sizes = np.diff(np.r_[begins, len(at)])
+    out = np.zeros(len(words), bool)
+    out[at[np.repeat(sizes <= LONGEST_QUANTITY, sizes)]] = True
+    return out
+
+
+def flat_tokens(texts: list[str], codes: dict) -> tuple[np.ndarray, ...]:
+    """As ``tokens_of`` for several texts one after the other, and which text each token is of."""
+    lists = [token_list(text) for text in texts]
+    sizes = np.array(list(map(len, lists)), np.int64)
+    found = np.fromiter(map(codes.__getitem__, chain.from_iterable(lists)), np.uint64, sizes.sum())
+    owner = np.repeat(np.arange(len(lists)), sizes)
     kind = found & np.uint64(7)
-    opens = np.r_[True, kind[:-1] == STOP][: len(found)]
+    opens = np.ones(len(found), bool)
+    opens[1:] = (kind[:-1] == STOP) | (owner[1:] != owner[:-1])
     words = kind != STOP
-    found, kind, opens = found[words], kind[words], opens[words]
+    found, kind, opens, owner = found[words], kind[words], opens[words], owner[words]
     values = found & ~np.uint64(7)
-    number = kind == NUMBER
+    number = (kind == NUMBER) | _quantities(kind == NUMBER_WORD, owner)
     capital = kind == CAPITALISED
     name = capital & ~opens
-    unit = (kind == UNIT) & np.r_[False, number[:-1]][: len(found)]
+    unit = kind == UNIT
+    unit[:1] = False
+    unit[1:] &= number[:-1] & (owner[1:] == owner[:-1])
     out = np.where(number, NUMBER_SLOT, np.where(name, NAME_SLOT, np.where(unit, UNIT_SLOT, values)))
-    return out, values, number | name | unit, capital & opens
+    return out, values, number | name | unit, capital & opens, owner
 
 
 def _mixed(sums: np.ndarray) -> np.ndarray:
@@ -110,12 +175,13 @@ def window_hashes(codes: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def readings(
-    codes: np.ndarray, slots: np.ndarray, openers: np.ndarray
+    codes: np.ndarray, slots: np.ndarray, openers: np.ndarray, wanted: np.ndarray | None = None
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(positions, hashes, offsets of openers read as names) of windows, one choice of openers at a time.
 
     The first has no opener as a name.  In each reading at least ``LITERALS``
-    tokens of a window are no slots.
+    tokens of a window are no slots.  ``wanted`` says which windows to read, all if
+    left out.
     """
     count = len(codes) - WINDOW + 1
     if count <= 0:
@@ -125,7 +191,8 @@ def readings(
     for k in range(WINDOW):
         sums += codes[k : k + count] * FACTORS[k]
     filled = _in_window(slots)
-    good = np.flatnonzero(filled <= WINDOW - LITERALS)
+    good = filled <= WINDOW - LITERALS
+    good = np.flatnonzero(good if wanted is None else good & wanted)
     yield good, _mixed(sums[good]), np.zeros((len(good), 0), np.int64)
     unsure = _in_window(openers)[good]
     opener_at = np.flatnonzero(openers)
@@ -144,34 +211,81 @@ def readings(
                 yield at[fits], _mixed(named), offsets[fits][:, chosen]
 
 
+def left_out(codes: np.ndarray, masked: np.ndarray, masks: np.ndarray) -> np.ndarray:
+    """Hashes of windows, one per row, without the tokens that are masked."""
+    return _mixed((np.where(masked, np.uint64(0), codes) * FACTORS).sum(axis=1, dtype=np.uint64) + MASK_TERMS[masks])
+
+
+def probes(codes: np.ndarray, openers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per window, its hash with the openers left out, and their number."""
+    count = max(0, len(codes) - WINDOW + 1)
+    plain = np.where(openers, np.uint64(0), codes)
+    sums = np.zeros(count, np.uint64)
+    masks = np.zeros(count, np.int64)
+    for k in range(WINDOW):
+        sums += plain[k : k + count] * FACTORS[k]
+        masks |= openers[k : k + count].astype(np.int64) << k
+    return _mixed(sums + MASK_TERMS[masks]), _in_window(openers) if count else masks
+
+
+def _hit(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    found = bits[hashes >> np.uint64(6) & np.uint64(len(bits) - 1)] >> (hashes & np.uint64(63))
+    return (found & np.uint64(1)).astype(bool)
+
+
+def _one_text(owner: np.ndarray) -> np.ndarray:
+    """Whether all tokens of a window are of one text."""
+    return owner[WINDOW - 1 :] == owner[: len(owner) - WINDOW + 1]
+
+
+def _together(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str]]]:
+    """(number of the first, texts) of a batch, a bounded number of characters at a time."""
+    first, texts, size = 0, [], 0
+    for text in texts_of(batch):
+        texts.append(text)
+        size += len(text)
+        if size >= CHARS_AT_ONCE:
+            yield first, texts
+            first, texts, size = first + len(texts), [], 0
+    if texts:
+        yield first, texts
+
+
 WINDOWS = "hash long, position int, slots array<struct<at:int,value:long,opener:boolean>>"
 SLOTS = pa.list_(pa.struct([("at", pa.int32()), ("value", pa.int64()), ("opener", pa.bool_())]))
 
 
-def _windows(docs: DataFrame, kept=None) -> DataFrame:
-    """(key, hash, position, slots) of the windows of each text; ``kept`` is a broadcast bit filter."""
+def _windows(docs: DataFrame, kept=None, partly=None) -> DataFrame:
+    """(key, hash, position, slots) of the windows of each text.
+
+    ``kept`` is a broadcast bit filter of window hashes, ``partly`` one of the
+    hashes with words left out.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes()
-        bits = None if kept is None else kept.value
         for batch in batches:
             keys = batch.column(0)
             rows: list[tuple] = []
             owners: list[int] = []
-            for owner, text in enumerate(texts_of(batch)):
+            for first, texts in _together(batch):
                 capped_cache(codes, MEMO)
-                out, values, slots, openers = tokens_of(text, codes)
-                for positions, hashes, named in readings(out, slots, openers):
-                    if bits is not None and len(hashes):
-                        hit = bits[hashes >> np.uint64(6) & np.uint64(len(bits) - 1)]
-                        hit = (hit >> (hashes & np.uint64(63)) & np.uint64(1)).astype(bool)
-                        positions, hashes, named = positions[hit], hashes[hit], named[hit]
-                    for position, code, own in zip(positions.tolist(), hashes.view(np.int64).tolist(), named.tolist()):
-                        places = np.flatnonzero(slots[position : position + WINDOW]).tolist()
-                        places = sorted(places + own)
-                        held = values[position : position + WINDOW].view(np.int64).tolist()
-                        rows.append((code, position, [{"at": a, "value": held[a], "opener": a in own} for a in places]))
-                        owners.append(owner)
+                out, values, slots, openers, owner = flat_tokens(texts, codes)
+                starts = np.searchsorted(owner, np.arange(len(texts)))
+                wanted = _one_text(owner)
+                if partly is not None:
+                    hashes, unsure = probes(out, openers)
+                    wanted = wanted & (_hit(partly.value, hashes) | (unsure > OPENERS_LEFT_OUT))
+                for at, hashes, named in readings(out, slots, openers, wanted):
+                    if kept is not None and len(hashes):
+                        hit = _hit(kept.value, hashes)
+                        at, hashes, named = at[hit], hashes[hit], named[hit]
+                    for place, code, own in zip(at.tolist(), hashes.view(np.int64).tolist(), named.tolist()):
+                        slot = sorted(np.flatnonzero(slots[place : place + WINDOW]).tolist() + own)
+                        held = values[place : place + WINDOW].view(np.int64).tolist()
+                        text = owner[place]
+                        rows.append((code, int(place - starts[text]), [{"at": a, "value": held[a], "opener": a in own} for a in slot]))
+                        owners.append(first + int(text))
                     if len(rows) > 20_000:
                         yield _batch(keys, owners, rows)
                         rows, owners = [], []
@@ -182,6 +296,29 @@ def _windows(docs: DataFrame, kept=None) -> DataFrame:
     return docs.mapInArrow(cut, f"key {kind}, {WINDOWS}")
 
 
+def _partial_hashes(items: DataFrame) -> DataFrame:
+    """(hash) of every reading of the items' windows without any choice of words that may be openers elsewhere."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = Codes()
+        for batch in batches:
+            for _, texts in _together(batch):
+                capped_cache(codes, MEMO)
+                out, _, slots, openers, owner = flat_tokens(texts, codes)
+                for at, _, named in readings(out, slots, openers, _one_text(owner)):
+                    read = out[at[:, None] + np.arange(WINDOW)] if len(at) else np.zeros((0, WINDOW), np.uint64)
+                    np.put_along_axis(read, named, NAME_SLOT, axis=1)
+                    fixed = (read == NUMBER_SLOT) | (read == UNIT_SLOT)
+                    for size in range(OPENERS_LEFT_OUT + 1):
+                        for chosen in map(list, combinations(range(WINDOW), size)):
+                            open_rows = read[~fixed[:, chosen].any(axis=1)]
+                            masked = np.isin(np.arange(WINDOW), chosen)
+                            hashes = np.unique(left_out(open_rows, masked, sum(1 << k for k in chosen)))
+                            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["hash"])
+
+    return items.mapInArrow(run, "hash long").distinct()
+
+
 def _batch(keys: pa.Array, owners: list[int], rows: list[tuple]) -> pa.RecordBatch:
     code, position, slots = zip(*rows)
     return pa.RecordBatch.from_arrays(
@@ -229,8 +366,10 @@ def contaminated(
     """
     items = keyed_text(benchmark, item_column, item_text_column).dropna(subset=["doc_id"])
     own = materialize(_windows(items).withColumnRenamed("key", "item_id"), "benchmark-windows")
-    kept = docs.sparkSession.sparkContext.broadcast(_bit_filter(own))
-    theirs = _windows(keyed_text(docs, id_column, text_column).dropna(subset=["doc_id"]), kept)
+    context = docs.sparkSession.sparkContext
+    kept = context.broadcast(_bit_filter(own))
+    partly = context.broadcast(_bit_filter(materialize(_partial_hashes(items), "benchmark-partly")))
+    theirs = _windows(keyed_text(docs, id_column, text_column).dropna(subset=["doc_id"]), kept, partly)
     sizes = own.groupBy("item_id").agg(F.countDistinct("position").alias("item_windows"))
 
     pairs = theirs.join(

@@ -107,3 +107,41 @@ def test_readings_of_a_window_are_all_choices_of_openers():
                     read[[p + k for k in own]] = templates.NAME_SLOT
                     expected[p, own] = int(templates.window_hashes(read[p : p + templates.WINDOW], np.zeros(templates.WINDOW, bool))[1][0])
     assert seen == expected
+
+
+def test_numbers_in_words_may_change(spark):
+    item = "Rita has three apples and four more in a bag. She sells them all for two dollars each to Paul. How many dollars does she have now?"
+    other = item.replace("three", "five").replace("four", "nine").replace("two", "6")
+    mixed = item.replace("three", "five").replace("She sells", "She sells three of")
+    assert leaks(spark, [(1, other, "", 0), (2, item, "", 0)], [(9, item, "", 0)]) == {(1, 9): "reparameterised", (2, 9): "verbatim"}
+    assert (2, 9) not in leaks(spark, [(2, mixed.replace("four", "five"), "", 0)], [(9, item, "", 0)])
+
+
+def test_tokens_equal_their_pattern():
+    text = "3.5, x_y ½² Ünï—codé ١٢ a1b2.c\x00d\x1f e f I.B.M. 1,000. Two\nthree! e\u0301 \ud800z"
+    pattern = re.compile(r"[^\W\d_]+|\d[\d.,]*|[.!?\n]")
+    expected = ["." if t in ".!?\n" else t for t in pattern.findall(text)]
+    assert [t.decode() for t in templates.token_list(text)] == expected
+
+
+def test_a_window_whose_openers_are_left_out_meets_every_reading():
+    rng = np.random.default_rng(6)
+    item = rng.integers(64, 1 << 62, 8).astype(np.uint64) & ~np.uint64(7)
+    for openers in ([], [0], [7], [2, 5]):
+        for named in combinations(openers, min(1, len(openers))):
+            doc, read, marks = item.copy(), item.copy(), np.zeros(8, bool)
+            marks[openers] = True
+            read[list(named)] = templates.NAME_SLOT
+            doc[list(named)] = np.uint64(640)
+            found = templates.probes(doc, marks)[0][0]
+            assert found == templates.left_out(read[None], marks, sum(1 << k for k in openers))[0]
+
+
+def test_texts_cut_together_are_cut_apart():
+    codes = templates.Codes()
+    texts = ["Ann has 3 cats", "", "kg of two. Tom", "three", "five mm six"]
+    together = templates.flat_tokens(texts, codes)
+    apart = [templates.tokens_of(t, codes) for t in texts]
+    for k in range(4):
+        assert together[k].tolist() == [x for a in apart for x in a[k].tolist()]
+    assert not templates._one_text(together[4]).any()
