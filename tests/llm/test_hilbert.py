@@ -55,3 +55,44 @@ def test_fewer_rows_than_shards_and_none(spark):
     assert hilbert.curve_shards(docs.limit(0)).count() == 0
     with pytest.raises(ValueError):
         hilbert.curve_shards(docs, bits=9)
+
+
+def test_places_equal_cells_by_brute_force(spark):
+    """Classes from sorted lists, spread over the axis; the cell's place from the table of the curve."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.select("doc_id", "lang", "source", "n_chars").collect()
+    cuts = hilbert.quantile_cuts(docs, ["lang", "source", "n_chars"], 5)
+    for at, name in enumerate(["lang", "source"]):
+        values = sorted(r[name] for r in rows)
+        steps = [31 * k / len(values) // 1 for k in range(len(values) + 1)]
+        ends = {v for v in set(values) if steps[values.index(v) + values.count(v)] > steps[values.index(v)]}
+        assert cuts[at] == sorted(ends - {values[-1]})
+    places = hilbert.curve_places(3, 5)
+    found = {r["doc_id"]: r["place"] for r in hilbert.curve_shards(docs).collect()}
+    for row in rows:
+        cell = 0
+        for name, own in zip(["lang", "source", "n_chars"], cuts):
+            cell = cell * 32 + (1 + sum(row[name] > c for c in own)) * 31 // (len(own) + 1)
+        assert found[row["doc_id"]] == places[cell]
+
+
+def test_shards_are_narrow_in_every_dimension(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = hilbert.curve_shards(docs).select("doc_id", "shard").join(docs, "doc_id")
+    narrow = found.groupBy("shard").agg(hilbert.F.count_distinct("lang").alias("l"), hilbert.F.count_distinct("source").alias("s"), (hilbert.F.percentile("n_chars", 0.9) - hilbert.F.percentile("n_chars", 0.1)).alias("r"))
+    l, s, r = narrow.agg({"l": "avg", "s": "avg", "r": "avg"}).select("avg(l)", "avg(s)", "avg(r)").first()
+    mixed = docs.withColumn("shard", hilbert.F.pmod(hilbert.F.xxhash64("doc_id"), hilbert.F.lit(40)))
+    mixed = mixed.groupBy("shard").agg(hilbert.F.count_distinct("lang").alias("l"), hilbert.F.count_distinct("source").alias("s"), (hilbert.F.percentile("n_chars", 0.9) - hilbert.F.percentile("n_chars", 0.1)).alias("r"))
+    ml, ms, mr = mixed.agg({"l": "avg", "s": "avg", "r": "avg"}).select("avg(l)", "avg(s)", "avg(r)").first()
+    assert l < 2.2 and l < 0.7 * ml and s < 0.7 * ms and r < 0.8 * mr
+
+
+def test_sources_with_a_long_common_beginning_are_told_apart(spark):
+    rows = [(i, "t", "en", f"https://example.org/{'abcd'[i % 4]}", 5.0) for i in range(400)]
+    rows += [(400, "t", "en", "https://example.org/a", float("nan")), (401, "t", None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars double")
+    assert len(hilbert.quantile_cuts(docs, ["source"], 5)[0]) == 3
+    found = hilbert.curve_shards(docs, shards=4).join(docs.select("doc_id", "source"), "doc_id").collect()
+    lawful(found, 4)
+    per_shard = [{r["source"] for r in found if r["shard"] == k and r["source"]} for k in range(4)]
+    assert sum(map(len, per_shard)) <= 7
