@@ -31,26 +31,35 @@ def spoken(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one whose id names the group.
 
-    Rows with a null id belong to no group and stay.
+    Rows that share an id are judged by their own texts; rows with a null id
+    belong to no group and stay.
     """
     return simhash.without_near_copies(docs)
 
 
 def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark item, verbatim or with other values."""
+    """Drop documents that hold a benchmark item, verbatim or with other values.
+
+    A text decides for itself, whatever its id: rows with a null or a repeated id
+    are judged like any other, null and empty texts stay.
+    """
     items = frames.read_table(spark, sf_dir, "benchmark", "item_id", "text")
-    leaks = templates.contaminated(docs, items).select("doc_id").distinct()
-    return docs.join(leaks, docs["doc_id"] == leaks["doc_id"], "left_anti")
+    digest = F.md5(docs["text"].cast("binary"))
+    leaks = templates.contaminated(docs.select(digest.alias("doc_id"), "text"), items).select("doc_id").distinct()
+    return docs.join(leaks, digest == leaks["doc_id"], "left_anti")
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace personal data in the texts; ``n_chars`` follows."""
+    """Replace personal data in the texts; ``n_chars`` follows, null for a null text."""
     field = private.fit_field(docs)
     return private.redact(docs, field).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, lang, source, n_tokens, ids, round_trip): the texts as token ids, decoded again as a check."""
+    """(doc_id, lang, source, n_tokens, ids, round_trip): the texts as token ids, decoded again as a check.
+
+    A null text has no ids, like an empty one; every row stays.
+    """
     return tokens.with_codes(
         docs.select("doc_id", "lang", "source", "text"),
         public_tokenizers.path("byte_bpe_50k.tiktoken"),

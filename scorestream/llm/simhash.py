@@ -139,6 +139,14 @@ def links(codes: DataFrame, most: int = LINK_BITS) -> DataFrame:
     return at_home.join(visiting, ["half", "anchor"]).where(near & (F.col("a") != F.col("b"))).select("a", "b")
 
 
+def _components(marked: DataFrame) -> DataFrame:
+    """(code, component_id) of written (doc_id, code) rows: the smallest id reachable over links."""
+    nodes = materialize(marked.groupBy("code").agg(F.min("doc_id").alias("node")), "simhash-nodes")
+    known = nodes.dropna(subset=["node"])
+    lowest = smallest_reachable(links(known), "simhash-links").select("node", "component")
+    return nodes.join(lowest, "node", "left").select("code", F.coalesce("component", "node").alias("component_id"))
+
+
 def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per document.
 
@@ -148,13 +156,7 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     null id count for no component's id, but have one if their fingerprint does.
     """
     marked = materialize(fingerprints(docs, id_column, text_column), "simhash")
-    nodes = materialize(marked.groupBy("code").agg(F.min("doc_id").alias("node")), "simhash-nodes")
-    known = nodes.dropna(subset=["node"])
-    lowest = smallest_reachable(links(known), "simhash-links").select("node", "component")
-    by_code = nodes.join(lowest, "node", "left").select(
-        "code", F.coalesce("component", "node").alias("component_id")
-    )
-    return marked.join(by_code, "code").select(
+    return marked.join(_components(marked), "code").select(
         "doc_id",
         F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"),
         "component_id",
@@ -162,12 +164,23 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 
 def without_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Rows of the documents that name their group, whole and with all columns; the others go.
+    """One row of each group of near copies, whole and with all columns; the others go.
 
-    Of repeated rows with the same id one stays.  Rows with a null id belong to
-    no group and stay.
+    Every row is judged by the fingerprint of its own text: of the rows of a group
+    that bear the id naming it, the one with the smallest hash of all its columns
+    stays.  So rows that share an id but not their texts' group each count for
+    their own, and no order of the rows, nor a second run, changes what stays.
+    Rows with a null id belong to no group and stay.
     """
-    groups = near_copies(docs, id_column, text_column)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    once = docs.join(kept, docs[id_column] == kept["doc_id"], "left_semi").dropDuplicates([id_column])
+    row = "_row" + "_" * max(map(len, docs.columns))
+    rows = docs.withColumn(row, F.xxhash64(*docs.columns))
+    known = rows.dropna(subset=[id_column]).select(F.struct(F.col(id_column).alias("doc_id"), F.col(row).alias("row")).alias("doc_id"), F.col(text_column).alias("text"))
+    marked = materialize(fingerprints(known).select("doc_id.*", "code"), "simhash-rows")
+    groups = marked.join(_components(marked), "code")
+    kept = groups.groupBy("component_id").agg(
+        F.min(F.when(F.col("doc_id") == F.col("component_id"), F.col("row"))).alias("row")
+    )
+    kept = kept.select(F.col("component_id").alias("doc_id"), "row")
+    same = (rows[id_column] == kept["doc_id"]) & (rows[row] == kept["row"])
+    once = rows.join(kept, same, "left_semi").dropDuplicates([id_column, row]).drop(row)
     return once.unionByName(docs.where(F.col(id_column).isNull()))

@@ -116,3 +116,21 @@ def test_chains_and_stars_are_single_components(spark):
     found = {r["node"]: r["component"] for r in components.smallest_reachable(links).collect()}
     assert found == {**{i: 0 for i in range(62)}, **{i: 1000 for i in range(1000, 1200)}}
     assert components.smallest_reachable(links.limit(0)).count() == 0
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_texts(spark):
+    a, b = "alpha beta gamma delta epsilon zeta", "one two three four five six seven eight"
+    rows = [(1, a, 0), (5, a, 1), (5, b, 2)]
+    for order in ([0, 1, 2], [2, 1, 0], [1, 2, 0], [2, 0, 1]):
+        docs = spark.createDataFrame([rows[i] for i in order], "doc_id long, text string, row int").repartition(3)
+        assert sorted(tuple(r) for r in simhash.without_near_copies(docs).collect()) == [(1, a, 0), (5, b, 2)]
+
+
+def test_of_equal_ids_in_one_group_the_same_row_stays_each_time(spark):
+    a = "alpha beta gamma delta epsilon zeta"
+    rows = [(1, a, i % 3) for i in range(9)] + [(None, a, 7), (2, None, 1), (3, "", 1)]
+    kept = set()
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, row int")
+        kept.add(tuple(sorted((tuple(r) for r in simhash.without_near_copies(docs).collect()), key=repr)))
+    assert len(kept) == 1 and sorted(r[0] or 0 for r in kept.pop()) == [0, 1, 2]
