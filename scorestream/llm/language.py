@@ -256,8 +256,12 @@ def with_language(
 ) -> DataFrame:
     """Rows whose text the best tree codes in fewer bits than its byte classes take, ``lang`` predicted.
 
-    Same columns and rows otherwise.  Texts are judged where they are read.
+    Same columns and rows otherwise.  Texts are judged where they are read.  Rows
+    with a null or empty text go; without any language to tell all rows stay as
+    they are.
     """
+    if not trees.languages:
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(trees)
     text_at, lang_at = docs.columns.index(text_column), docs.columns.index(lang_column)
 

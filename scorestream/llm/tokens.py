@@ -108,7 +108,8 @@ class TokenCounter:
     def __init__(self, rules: MergeRules, whole: frozenset[str], pattern: str):
         self.rules = rules
         self.find = regex.compile(pattern).findall
-        self.split = regex.compile("|".join(map(regex.escape, rules.special))).split if rules.special else None
+        special = sorted(rules.special, key=len, reverse=True)
+        self.split = regex.compile("|".join(map(regex.escape, special))).split if special else None
         self.whole = {
             text: 1
             for piece in whole

@@ -92,3 +92,9 @@ def test_noise_goes_and_prose_stays(spark, trees):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score int")
     kept = language.with_language(docs, trees).collect()
     assert [(r["doc_id"], r["lang"], r["score"]) for r in kept] == [(1, "en", 5)]
+
+
+def test_without_languages_every_row_stays(spark):
+    docs = spark.createDataFrame([(1, "text", None), (2, None, None)], "doc_id long, text string, lang string")
+    trees = language.fit_trees(docs)
+    assert not trees.languages and sorted(r["doc_id"] for r in language.with_language(docs, trees).collect()) == [1, 2]

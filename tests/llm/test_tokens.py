@@ -92,3 +92,9 @@ def test_codes_replace_the_text_and_other_columns_stay(spark):
     found = tokens.with_codes(docs, RANKS, PATTERN).orderBy("doc_id").collect()
     assert found[0]["odd name"] == "x y" and found[0]["n_tokens"] == len(found[0]["ids"]) == 2
     assert found[1]["ids"] == [] and found[1]["round_trip"]
+
+
+def test_the_longest_special_string_counts():
+    rules = tokens.MergeRules(JSON)
+    rules.special = ["<a>", "<a><b>", "<b>"]
+    assert tokens.TokenCounter(rules, frozenset(), PATTERN).count("<a><b><a>") == 2
