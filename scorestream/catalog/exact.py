@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from scorestream.catalog.columns import SHAPE_SQL, TRAIN_SQL, stored_shape
 from scorestream.catalog.registry import query, table
 from scorestream.catalog.text import documents
-from scorestream.operators import classifiers, features
+from scorestream.operators import classifiers, features, optimality
 from scorestream.operators.sets import union_all
 from scorestream.operators.split import fold_column, is_train, random_split
 from scorestream.plans.tabular import TabularPlan
@@ -72,9 +72,27 @@ def _saturated(classifier, **how):
 
 query("saturated_lr", _MODES_SQL)(_saturated("lr", reg=0.0, max_iter=100))
 query("saturated_ovr", _MODES_SQL)(_saturated("ovr", reg=0.0, max_iter=100))
+query("saturated_svc", _MODES_SQL)(_saturated("svc", reg=0.01, max_iter=5))
 query("saturated_mlp", _MODES_SQL)(_saturated("mlp", max_iter=200))
 
 
+@query("logistic_optimality", f"SELECT count(*) AS n_rows, true AS optimal FROM documents WHERE {TRAIN_SQL}")
+def logistic_optimality(spark, sf_dir):
+    """Is the penalised multinomial loss stationary at the fitted weights, on free measurements?
+
+    The loss is convex, so a vanishing slope proves the fit; it is summed over all
+    training rows by one aggregate.
+    """
+    rows = stored_shape(spark, sf_dir).where(is_train("doc_id"))
+    stages = [features.index_label("lang"), features.assemble(features.SHAPE_COLUMNS), features.scale(mean=True)]
+    known = Pipeline(stages=stages).fit(rows).transform(rows).select("label", "scaled")
+    known = materialize(known, "scaled-shape")
+    model = classifiers.logistic("scaled", maxIter=500, tol=1e-12, regParam=0.01, standardization=False).fit(known)
+    slope = optimality.logistic_slope(model, known, "scaled", "label")
+    worst = float(abs(slope).max())
+    return known.agg(F.count("*").alias("n_rows"), F.lit(worst < 1e-5).alias("optimal"))
+
+
 def _stump(make):
     def run(spark, sf_dir):
         rows = _marked(spark, sf_dir)
@@ -192,11 +210,11 @@ def random_split_parts(spark, sf_dir):
 @query(
     "driver_rows_join",
     """
-    SELECT n_nationkey, side FROM nation
-    JOIN (VALUES (0, 'south'), (1, 'west'), (2, 'east')) AS sides(n_regionkey, side) USING (n_regionkey)
+    SELECT o_orderkey, rank FROM orders
+    JOIN (VALUES ('1-URGENT', 1), ('2-HIGH', 2), ('5-LOW', 5)) AS ranks(o_orderpriority, rank) USING (o_orderpriority)
     """,
 )
 def driver_rows_join(spark, sf_dir):
-    """A few rows made in the driver, joined with a table."""
-    sides = driver_rows(spark, [(0, "south"), (1, "west"), (2, "east")], "n_regionkey int, side string")
-    return table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey").join(sides, "n_regionkey").drop("n_regionkey")
+    """A few rows made in the driver, joined with a table that grows."""
+    ranks = driver_rows(spark, [("1-URGENT", 1), ("2-HIGH", 2), ("5-LOW", 5)], "o_orderpriority string, rank int")
+    return table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority").join(ranks, "o_orderpriority").drop("o_orderpriority")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as T
 
-from scorestream.catalog.bayes import _CONFUSION_SQL, _METRICS_SQL, GAUSSIAN_SQL, TERM_PREDICTION_SQL, fit_shape
+from scorestream.catalog.bayes import GAUSSIAN_SQL, TERM_PREDICTION_SQL, fit_shape
 from scorestream.catalog.columns import stored_shape
 from scorestream.catalog.learn import language_models, language_name
 from scorestream.catalog.registry import query, table
@@ -111,18 +111,34 @@ def stream_accuracy_by_class(spark, sf_dir):
     "stream_batch_metrics",
     f"""
     WITH {GAUSSIAN_SQL}
-    , confusion AS ({_CONFUSION_SQL}), {_METRICS_SQL}
-    SELECT n_rows, round(accuracy, 6) AS accuracy, round(weighted_f1, 6) AS weighted_f1 FROM measured
+    , confusion AS (SELECT doc_id % 4 AS batch, lang AS label, prediction, count(*) AS n FROM predicted GROUP BY ALL)
+    , sides AS (
+        SELECT batch, class, sum(support) AS support, sum(guessed) AS guessed, sum(hit) AS hit FROM (
+            SELECT batch, label AS class, n AS support, 0 AS guessed,
+                   CASE WHEN label = prediction THEN n ELSE 0 END AS hit FROM confusion
+            UNION ALL SELECT batch, prediction, 0, n, 0 FROM confusion
+        ) GROUP BY ALL
+    )
+    SELECT batch AS batch_id, sum(support)::BIGINT AS n_rows, round(sum(hit)::DOUBLE / sum(support), 6) AS accuracy,
+           round(sum(support * (2.0::DOUBLE * hit / (support + guessed))) / sum(support), 6) AS weighted_f1
+    FROM sides GROUP BY batch
     """,
 )
 def stream_batch_metrics(spark, sf_dir):
-    """Metrics of a micro-batch that holds every message."""
-    path = scratch_path(spark, "batch-metrics")
-    _finish(metric_stream(_scored_shapes(spark, sf_dir, None), path, "lang", trigger=_ALL))
+    """Metrics of four micro-batches: a quarter of the documents lands, the stream goes on where it stopped."""
+    rows = stored_shape(spark, sf_dir)
+    model = fit_shape(rows)
+    folder, path = scratch_path(spark, "quarters"), scratch_path(spark, "batch-metrics")
+    for quarter in range(4):
+        publish(json_messages(rows.where(F.col("doc_id") % 4 == quarter), "doc_id"), folder)
+        scored = with_correct(model.predict(parse_json_messages(message_replay(spark, folder), _SHAPE)), "lang")
+        _finish(metric_stream(scored, path, "lang", trigger=_ALL))
     names = ["n_rows", "accuracy", "weighted_f1"]
     wide = spark.read.parquet(path).groupBy("batch_id").pivot("metric", names).agg(F.first("value"))
     return wide.select(
-        F.col("n_rows").cast("bigint").alias("n_rows"), *(F.round(c, 6).alias(c) for c in names[1:])
+        F.col("batch_id").cast("bigint").alias("batch_id"),
+        F.col("n_rows").cast("bigint").alias("n_rows"),
+        *(F.round(c, 6).alias(c) for c in names[1:]),
     )
 
 
@@ -224,15 +240,15 @@ def stream_csv_parse(spark, sf_dir):
 @query(
     "file_arrival_lines",
     """
-    SELECT page_id % 8 AS bucket, (sum(strlen(html)) + count(*))::BIGINT AS n_bytes,
+    SELECT page_id // 200 AS bucket, (sum(strlen(html)) + count(*))::BIGINT AS n_bytes,
            (sum(length(html) - length(replace(html, chr(10), ''))) + count(*) + 1)::BIGINT AS n_lines
     FROM pages GROUP BY 1
     """,
 )
 def file_arrival_lines(spark, sf_dir):
-    """Files landing in a folder, one per bucket of pages; the lines of each counted as it arrives."""
+    """Files landing in a folder, one per 200 pages; the lines of each counted as it arrives."""
     folder = scratch_path(spark, "landing")
-    pages = table(spark, sf_dir, "pages", "page_id", "html").withColumn("bucket", F.col("page_id") % 8)
+    pages = table(spark, sf_dir, "pages", "page_id", "html").withColumn("bucket", F.expr("page_id div 200"))
     pages.repartition("bucket").select("bucket", "html").write.partitionBy("bucket").text(folder)
     path = scratch_path(spark, "file-lines")
     _finish(file_lines_stream(text_lines(spark, folder, "*.txt", 3), path, trigger=_ALL))

@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.ml import Estimator
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
+    LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     NaiveBayes,
@@ -22,6 +23,11 @@ def logistic(features: str = "features", label: str = "label", **params: Any) ->
     return LogisticRegression(featuresCol=features, labelCol=label, **params)
 
 
+def linear_svc(features: str = "features", label: str = "label", **params: Any) -> LinearSVC:
+    """Linear support vector machine for two classes; ``one_vs_rest`` over it for more."""
+    return LinearSVC(featuresCol=features, labelCol=label, **params)
+
+
 def decision_tree(features: str = "features", label: str = "label", **params: Any) -> DecisionTreeClassifier:
     return DecisionTreeClassifier(featuresCol=features, labelCol=label, **params)
 

@@ -65,6 +65,9 @@ class TabularPlan:
         if self.classifier == "ovr":
             base = classifiers.logistic(features, maxIter=self.max_iter, regParam=self.reg)
             return classifiers.one_vs_rest(base, features)
+        if self.classifier == "svc":
+            base = classifiers.linear_svc(features, maxIter=self.max_iter, regParam=self.reg)
+            return classifiers.one_vs_rest(base, features)
         raise ValueError(f"unknown classifier {self.classifier!r}")
 
     def _indexed(self, df: DataFrame):
