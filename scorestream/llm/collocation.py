@@ -16,9 +16,10 @@ looked up; they are taken from streams in that order:
   running last phrase that is one word shorter is the one it extends.  Parts and
   extensions of both orders then meet in merge joins by phrase.
 
-Two words that stand side by side less often than the least count are in no
-candidate, so windows stop between them.  Such pairs are told by a bit filter of
-bounded size over hashed pairs; a false alarm makes a window longer, not wrong.
+A word that is rarer than the least count, and two words that stand side by side
+less often, are in no candidate: windows stop there, and rare words only count
+for their language.  Both are told by a bit filter of bounded size over hashed
+words and pairs; a false alarm makes a window more, or longer, but no count wrong.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -41,11 +43,11 @@ LEAST = 30
 COVER_PERCENT = 80
 SCALE = 2_000_000
 BEST = 2000
-#: Distinct windows, or pairs, that a task holds before it passes their counts on.
+#: Distinct windows, or a tenth of the hashes, that a task holds before it passes their counts on.
 HELD = 400_000
 #: Bytes of a text that are cut into words at once.
 BLOCK_BYTES = 1 << 20
-BITS_PER_PAIR = 64
+BITS_PER_HASH = 64
 MOST_FILTER_BITS = 1 << 30
 
 #: A-Z to lower case; every mark between pieces to a full stop, which no word can hold.
@@ -88,19 +90,21 @@ class _Codes(dict):
         return code
 
 
-def _pairs(lang: bytes, words: list[bytes], codes: _Codes) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word with the next, and whether both are words of one piece."""
+def _hashes(lang: bytes, words: list[bytes], codes: _Codes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each word, whether it is one, hash of it with the next, and whether both are words of one piece."""
     if len(codes) > HELD:
         codes.clear()
     found = np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
-    mixed = found[:-1] * _FIRST + found[1:] * _SECOND + np.uint64(xxhash.xxh64_intdigest(lang))
+    alone = found * _FIRST + np.uint64(xxhash.xxh64_intdigest(lang))
+    mixed = np.concatenate([alone, alone[:-1] + found[1:] * _SECOND])
     mixed ^= mixed >> np.uint64(31)
     mixed *= _SPREAD
     mixed ^= mixed >> np.uint64(29)
-    return mixed, (found[:-1] != 0) & (found[1:] != 0)
+    is_word = found != 0
+    return mixed[: len(words)], is_word, mixed[len(words) :], is_word[:-1] & is_word[1:]
 
 
-def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hash_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     codes = _Codes()
     gathered: list[np.ndarray] = []
 
@@ -114,9 +118,9 @@ def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text in zip(batch.column("lang"), batch.column("text")):
             own_language = language_word(lang.as_py())
             for words, own in word_blocks(text.as_py()):
-                hashes, whole = _pairs(own_language, words, codes)
-                gathered.append(hashes[:own][whole[:own]])
-                held += len(gathered[-1])
+                alone, is_word, pairs, whole = _hashes(own_language, words, codes)
+                gathered += [alone[:own][is_word[:own]], pairs[:own][whole[:own]]]
+                held += 2 * own
                 if held > 10 * HELD:
                     yield combined()
                     held = 0
@@ -125,7 +129,7 @@ def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _bit_filter(hashes: DataFrame) -> np.ndarray:
     """64-bit words of a filter that has every hash; a power of two of them, bounded in size."""
-    wanted = max(1 << 16, BITS_PER_PAIR * hashes.count())
+    wanted = max(1 << 16, BITS_PER_HASH * hashes.count())
     words = min(1 << (wanted - 1).bit_length(), MOST_FILTER_BITS) >> 6
     place = F.shiftrightunsigned("hash", 6).bitwiseAND(F.lit(words - 1).cast("long"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("hash").bitwiseAND(F.lit(63).cast("long")).cast("int"))
@@ -136,48 +140,59 @@ def _bit_filter(hashes: DataFrame) -> np.ndarray:
     return out
 
 
-def _windows(words: list[bytes], own: int, joins: np.ndarray) -> list[bytes]:
-    """The window at each word that belongs to the block; it stops where ``joins`` says no."""
-    reach = np.ones(len(words), np.int64)
-    alive = np.ones(len(words), bool)
+def _windows(words: list[bytes], at: np.ndarray, joins: np.ndarray) -> list[bytes]:
+    """The window at each of the given words; it stops where ``joins`` says no."""
+    if not len(at):
+        return []
     padded = np.r_[joins, np.zeros(LONGEST, bool)]
+    reach = np.ones(len(at), np.int64)
+    alive = np.ones(len(at), bool)
     for k in range(LONGEST - 1):
-        alive &= padded[k : k + len(words)]
+        alive &= padded[at + k]
         reach += alive
     joined = b" ".join(words) + b" "
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    at = np.flatnonzero(np.fromiter((w != b"." for w in words[:own]), bool, own))
     starts = np.r_[0, ends[:-1]][at].tolist()
-    return [joined[s:e] for s, e in zip(starts, ends[at + reach[at] - 1].tolist())]
+    return [joined[s:e] for s, e in zip(starts, ends[at + reach - 1].tolist())]
 
 
 def _window_counts(docs: DataFrame, kept) -> DataFrame:
-    """(phrase, n) of windows, combined in the task."""
+    """(phrase, n) of windows, combined in the task; words that are in no candidate count for the language only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = kept.value
         codes = _Codes()
-        counts: dict[bytes, Counter] = {}
+        counts: dict[bytes, tuple[Counter, Counter]] = {}
+        others: Counter = Counter()
         held = 0
 
         def passed_on() -> Iterator[pa.RecordBatch]:
-            for lang, own_counts in counts.items():
-                phrases = [lang + b" " + w for w in own_counts]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(phrases, pa.binary()), pa.array(own_counts.values(), pa.int64())], ["phrase", "n"]
-                )
+            for lang, (single, longer) in counts.items():
+                head = lang + b" "
+                phrases = [head, *(head + w + b" " for w in single), *(head + w for w in longer)]
+                n = [others[lang], *single.values(), *longer.values()]
+                yield pa.RecordBatch.from_arrays([pa.array(phrases, pa.binary()), pa.array(n, pa.int64())], ["phrase", "n"])
             counts.clear()
+            others.clear()
+
+        def frequent(hashes: np.ndarray) -> np.ndarray:
+            hit = bits[hashes >> np.uint64(6) & np.uint64(len(bits) - 1)] >> (hashes & np.uint64(63))
+            return (hit & np.uint64(1)).astype(bool)
 
         for batch in batches:
             for lang, text in zip(batch.column("lang"), batch.column("text")):
                 own_language = language_word(lang.as_py())
                 for words, own in word_blocks(text.as_py()):
-                    hashes, whole = _pairs(own_language, words, codes)
-                    hit = bits[hashes >> np.uint64(6) & np.uint64(len(bits) - 1)] >> (hashes & np.uint64(63))
-                    own_counts = counts.setdefault(own_language, Counter())
-                    before = len(own_counts)
-                    own_counts.update(_windows(words, own, (hit & np.uint64(1)).astype(bool) & whole))
-                    held += len(own_counts) - before
+                    alone, is_word, pairs, whole = _hashes(own_language, words, codes)
+                    joins = frequent(pairs) & whole
+                    known = (frequent(alone) & is_word)[:own]
+                    long = known & np.r_[joins, False][:own]
+                    single, longer = counts.setdefault(own_language, (Counter(), Counter()))
+                    before = len(single) + len(longer)
+                    single.update(compress(words, (known & ~long).tolist()))
+                    longer.update(_windows(words, np.flatnonzero(long), joins))
+                    others[own_language] += int(is_word[:own].sum()) - int(known.sum())
+                    held += len(single) + len(longer) - before
                     if held > HELD:
                         yield from passed_on()
                         held = 0
@@ -272,8 +287,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, text_column: str = "text"
     with its number of words.  Every part of a phrase is there as well.
     """
     rows = docs.select(F.col(lang_column).cast("string").alias("lang"), F.col(text_column).cast("string").alias("text"))
-    pairs = rows.mapInArrow(_pair_counts, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
-    often = materialize(pairs.where(F.col("n") >= least).select("hash"), "frequent-pairs")
+    hashes = rows.mapInArrow(_hash_counts, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    often = materialize(hashes.where(F.col("n") >= least).select("hash"), "frequent-hashes")
     kept = docs.sparkSession.sparkContext.broadcast(_bit_filter(often))
     windows = materialize(_window_counts(rows, kept), "window-counts")
     sums = (

@@ -90,7 +90,8 @@ def test_a_long_text_is_cut_without_losing_a_window(monkeypatch):
 def test_windows_stop_where_pairs_are_rare():
     words = b"a b c d e . f".split()
     joins = collocation.np.array([True, True, True, False, False, False])
-    assert collocation._windows(words, 7, joins) == [b"a b c d ", b"b c d ", b"c d ", b"d ", b"e ", b"f "]
+    assert collocation._windows(words, collocation.np.array([0, 1, 2, 3, 4, 6]), joins) == [b"a b c d ", b"b c d ", b"c d ", b"d ", b"e ", b"f "]
+    assert collocation._windows(words, collocation.np.arange(0), joins) == []
 
 
 def test_runs_are_added_over_batches_and_kept_at_the_edges():
