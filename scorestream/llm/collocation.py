@@ -16,10 +16,9 @@ looked up; they are taken from streams in that order:
   running last phrase that is one word shorter is the one it extends.  Parts and
   extensions of both orders then meet in merge joins by phrase.
 
-A word that is rarer than the least count, and two words that stand side by side
-less often, are in no candidate: windows stop there, and rare words only count
-for their language.  Both are told by a bit filter of bounded size over hashed
-words and pairs; a false alarm makes a window more, or longer, but no count wrong.
+Two words that stand side by side less often than the least count are in no
+candidate, so windows stop between them.  Such pairs are told by a bit filter of
+bounded size over hashed pairs; a false alarm makes a window longer, not wrong.
 """
 
 from __future__ import annotations
@@ -43,7 +42,7 @@ LEAST = 30
 COVER_PERCENT = 80
 SCALE = 2_000_000
 BEST = 2000
-#: Distinct windows, or a tenth of the hashes, that a task holds before it passes their counts on.
+#: Distinct windows, or a tenth of the pairs, that a task holds before it passes their counts on.
 HELD = 400_000
 #: Bytes of a text that are cut into words at once.
 BLOCK_BYTES = 1 << 20
@@ -90,21 +89,20 @@ class _Codes(dict):
         return code
 
 
-def _hashes(lang: bytes, words: list[bytes], codes: _Codes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of each word, whether it is one, hash of it with the next, and whether both are words of one piece."""
+def _pairs(lang: bytes, words: list[bytes], codes: _Codes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Whether each is a word, hash of it with the next, and whether both are words of one piece."""
     if len(codes) > HELD:
         codes.clear()
     found = np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
-    alone = found * _FIRST + np.uint64(xxhash.xxh64_intdigest(lang))
-    mixed = np.concatenate([alone, alone[:-1] + found[1:] * _SECOND])
+    mixed = found[:-1] * _FIRST + found[1:] * _SECOND + np.uint64(xxhash.xxh64_intdigest(lang))
     mixed ^= mixed >> np.uint64(31)
     mixed *= _SPREAD
     mixed ^= mixed >> np.uint64(29)
     is_word = found != 0
-    return mixed[: len(words)], is_word, mixed[len(words) :], is_word[:-1] & is_word[1:]
+    return is_word, mixed, is_word[:-1] & is_word[1:]
 
 
-def _hash_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     codes = _Codes()
     gathered: list[np.ndarray] = []
 
@@ -118,9 +116,9 @@ def _hash_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text in zip(batch.column("lang"), batch.column("text")):
             own_language = language_word(lang.as_py())
             for words, own in word_blocks(text.as_py()):
-                alone, is_word, pairs, whole = _hashes(own_language, words, codes)
-                gathered += [alone[:own][is_word[:own]], pairs[:own][whole[:own]]]
-                held += 2 * own
+                _, pairs, whole = _pairs(own_language, words, codes)
+                gathered.append(pairs[:own][whole[:own]])
+                held += own
                 if held > 10 * HELD:
                     yield combined()
                     held = 0
@@ -157,23 +155,21 @@ def _windows(words: list[bytes], at: np.ndarray, joins: np.ndarray) -> list[byte
 
 
 def _window_counts(docs: DataFrame, kept) -> DataFrame:
-    """(phrase, n) of windows, combined in the task; words that are in no candidate count for the language only."""
+    """(phrase, n) of windows, combined in the task; windows of one word are counted by the word itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = kept.value
         codes = _Codes()
         counts: dict[bytes, tuple[Counter, Counter]] = {}
-        others: Counter = Counter()
         held = 0
 
         def passed_on() -> Iterator[pa.RecordBatch]:
             for lang, (single, longer) in counts.items():
                 head = lang + b" "
-                phrases = [head, *(head + w + b" " for w in single), *(head + w for w in longer)]
-                n = [others[lang], *single.values(), *longer.values()]
+                phrases = [*(head + w + b" " for w in single), *(head + w for w in longer)]
+                n = [*single.values(), *longer.values()]
                 yield pa.RecordBatch.from_arrays([pa.array(phrases, pa.binary()), pa.array(n, pa.int64())], ["phrase", "n"])
             counts.clear()
-            others.clear()
 
         def frequent(hashes: np.ndarray) -> np.ndarray:
             hit = bits[hashes >> np.uint64(6) & np.uint64(len(bits) - 1)] >> (hashes & np.uint64(63))
@@ -183,15 +179,13 @@ def _window_counts(docs: DataFrame, kept) -> DataFrame:
             for lang, text in zip(batch.column("lang"), batch.column("text")):
                 own_language = language_word(lang.as_py())
                 for words, own in word_blocks(text.as_py()):
-                    alone, is_word, pairs, whole = _hashes(own_language, words, codes)
+                    is_word, pairs, whole = _pairs(own_language, words, codes)
                     joins = frequent(pairs) & whole
-                    known = (frequent(alone) & is_word)[:own]
-                    long = known & np.r_[joins, False][:own]
+                    long = np.r_[joins, False][: len(words)][:own]
                     single, longer = counts.setdefault(own_language, (Counter(), Counter()))
                     before = len(single) + len(longer)
-                    single.update(compress(words, (known & ~long).tolist()))
+                    single.update(compress(words, (is_word[:own] & ~long).tolist()))
                     longer.update(_windows(words, np.flatnonzero(long), joins))
-                    others[own_language] += int(is_word[:own].sum()) - int(known.sum())
                     held += len(single) + len(longer) - before
                     if held > HELD:
                         yield from passed_on()
@@ -287,8 +281,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, text_column: str = "text"
     with its number of words.  Every part of a phrase is there as well.
     """
     rows = docs.select(F.col(lang_column).cast("string").alias("lang"), F.col(text_column).cast("string").alias("text"))
-    hashes = rows.mapInArrow(_hash_counts, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
-    often = materialize(hashes.where(F.col("n") >= least).select("hash"), "frequent-hashes")
+    pairs = rows.mapInArrow(_pair_counts, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    often = materialize(pairs.where(F.col("n") >= least).select("hash"), "frequent-pairs")
     kept = docs.sparkSession.sparkContext.broadcast(_bit_filter(often))
     windows = materialize(_window_counts(rows, kept), "window-counts")
     sums = (
