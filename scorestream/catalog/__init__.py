@@ -3,6 +3,7 @@
 from scorestream.catalog import (  # noqa: F401
     bayes,
     columns,
+    encoded,
     exact,
     inference,
     learn,

@@ -9,7 +9,7 @@ from scorestream.catalog.registry import query
 from scorestream.catalog.text import TOKENS_SQL, documents, words
 from scorestream.operators import metrics
 from scorestream.operators.features import SHAPE_COLUMNS, VOTE_COLUMNS, text_votes
-from scorestream.operators.naive_bayes import GaussianNaiveBayes, TermNaiveBayes
+from scorestream.operators.naive_bayes import GaussianNaiveBayes, TermNaiveBayes, predict_each
 from scorestream.operators.split import is_train
 from scorestream.operators.terms import english_stop_words
 from scorestream.functions.numeric import real_product, vote_interactions, with_interactions
@@ -209,19 +209,18 @@ FROM outcomes GROUP BY ALL
 
 @query("ablation_nb", "WITH " + _ABLATION_SQL)
 def ablation_nb(spark, sf_dir):
-    """One job with term features only, and with counts and their products too."""
+    """One job with term features only, and with counts and their products too; one fit, one pass."""
     rows = text_votes(documents(spark, sf_dir, "lang"))
     terms = vote_interactions(*VOTE_COLUMNS)
     rows = with_interactions(rows, terms, real_product)
     train = rows.where(is_train("doc_id"))
-    tables = []
-    for name, numeric in (("text", []), ("full", [*VOTE_COLUMNS, *terms])):
-        model = TermNaiveBayes.fit(train, "lang", words(), english_stop_words(), numeric=numeric)
-        predicted = model.predict(rows, "doc_id", words(), ["lang"]).select(
-            F.lit(name).alias("feature_set"), is_train("doc_id").alias("train"), "lang", "prediction"
-        )
-        tables.append(metrics.confusion(predicted, "lang", by=["feature_set", "train"]))
-    return tables[0].unionByName(tables[1])
+    full = TermNaiveBayes.fit(train, "lang", words(), english_stop_words(), numeric=[*VOTE_COLUMNS, *terms])
+    models = {"text": full.without_numeric(), "full": full}
+    predicted = predict_each(models, rows, "doc_id", words(), ["lang"])
+    both = predicted.withColumn("train", is_train("doc_id")).unpivot(
+        ["lang", "train"], list(models), "feature_set", "prediction"
+    )
+    return metrics.confusion(both, "lang", by=["feature_set", "train"])
 
 
 #: Gaussian model of the language from four measurements.

@@ -93,16 +93,16 @@ def logistic_optimality(spark, sf_dir):
     return known.agg(F.count("*").alias("n_rows"), F.lit(worst < 1e-5).alias("optimal"))
 
 
-def _stump(make):
-    def run(spark, sf_dir):
-        rows = _marked(spark, sf_dir)
-        train = rows.where(is_train("doc_id"))
-        indexer = features.index_label("lang").fit(train)
-        stages = [indexer, features.assemble(["category"]), make(), features.unindex_label(indexer.labels)]
-        scored = Pipeline(stages=stages).fit(train).transform(rows)
-        return scored.select("doc_id", F.col("predicted_label").alias("prediction"))
+def _fitted_tree(rows, columns, tree):
+    train = rows.where(is_train("doc_id"))
+    indexer = features.index_label("lang").fit(train)
+    stages = [indexer, features.assemble(columns), tree, features.unindex_label(indexer.labels)]
+    scored = Pipeline(stages=stages).fit(train).transform(rows)
+    return scored.select("doc_id", F.col("predicted_label").alias("prediction"))
 
-    return run
+
+def _stump(make):
+    return lambda spark, sf_dir: _fitted_tree(_marked(spark, sf_dir), ["category"], make())
 
 
 query("stump_tree", _STUMP_SQL)(_stump(lambda: classifiers.decision_tree(maxDepth=1)))
@@ -110,6 +110,63 @@ query("stump_forest", _STUMP_SQL)(
     _stump(lambda: classifiers.random_forest(trees=3, maxDepth=1, bootstrap=False, featureSubsetStrategy="all"))
 )
 
+#: Two counts of letters per document, capped so that every value can be a threshold.
+_SIGNS = {"a": "[w]", "b": "[z]"}
+_SIGN_CAP = 15
+
+
+def _nested_sql(depth: int) -> str:
+    """A tree grown level by level: the best cut of every node, then the rows one level down."""
+    signs = ", ".join(
+        f"least(length(text) - length(regexp_replace(text, '{p}', '', 'g')), {_SIGN_CAP}) AS {c}" for c, p in _SIGNS.items()
+    )
+    steps = [f"rows_0 AS (SELECT doc_id, lang, {signs}, {TRAIN_SQL} AS train, '' AS node FROM documents)"]
+    cuts = " UNION ALL ".join(
+        f"SELECT '{c}' AS f, (x + lead(x) OVER (ORDER BY x)) / 2.0 AS t FROM (SELECT DISTINCT {c} AS x FROM rows_0 WHERE train)"
+        for c in _SIGNS
+    )
+    steps.append(f"cuts AS (SELECT * FROM ({cuts}) WHERE t IS NOT NULL)")
+    value = "CASE f " + " ".join(f"WHEN '{c}' THEN {c}" for c in _SIGNS) + " END"
+    impurity = "sum(n) - sum(n * n)::DOUBLE / sum(n) AS gini"
+    for k in range(depth):
+        steps += [
+            f"sides_{k} AS (SELECT node, f, t, {value} <= t AS low, lang, count(*) AS n FROM rows_{k}, cuts WHERE train GROUP BY ALL)",
+            f"impure_{k} AS (SELECT node, f, t, low, {impurity} FROM sides_{k} GROUP BY node, f, t, low)",
+            f"whole_{k} AS (SELECT node, {impurity} FROM (SELECT node, lang, count(*) AS n FROM rows_{k} WHERE train GROUP BY ALL) GROUP BY node)",
+            f"gains_{k} AS (SELECT node, f, t, any_value(w.gini) - sum(i.gini) AS gain FROM impure_{k} i JOIN whole_{k} w USING (node) "
+            "GROUP BY node, f, t HAVING count(*) = 2)",
+            f"best_{k} AS (SELECT node, f, t FROM gains_{k} WHERE gain > 1e-9 "
+            "QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 9) DESC, f, t) = 1)",
+            f"rows_{k + 1} AS (SELECT r.* EXCLUDE (node), r.node || CASE WHEN f IS NULL THEN '' WHEN {value} <= t THEN 'l' ELSE 'r' END AS node "
+            f"FROM rows_{k} r LEFT JOIN best_{k} USING (node))",
+        ]
+    steps += [
+        f"votes AS (SELECT node, lang, count(*) AS n FROM rows_{depth} WHERE train GROUP BY ALL)",
+        "sizes AS (SELECT lang, count(*) AS size FROM rows_0 WHERE train GROUP BY lang)",
+        "leaves AS (SELECT node, lang AS prediction FROM votes JOIN sizes USING (lang) "
+        "QUALIFY row_number() OVER (PARTITION BY node ORDER BY n DESC, size DESC, lang) = 1)",
+    ]
+    return "WITH " + ", ".join(steps) + f" SELECT doc_id, prediction FROM rows_{depth} JOIN leaves USING (node)"
+
+
+def _grown(make):
+    def run(spark, sf_dir):
+        def capped(pattern):
+            found = F.length("text") - F.length(F.regexp_replace("text", pattern, ""))
+            return F.least(found, F.lit(_SIGN_CAP)).cast("double")
+
+        signs = {c: capped(p) for c, p in _SIGNS.items()}
+        rows = materialize(documents(spark, sf_dir, "lang").withColumns(signs).drop("text"), "signs")
+        return _fitted_tree(rows, list(signs), make())
+
+    return run
+
+
+query("grown_tree", _nested_sql(3))(_grown(lambda: classifiers.decision_tree(maxDepth=3)))
+query("grown_forest", _nested_sql(3))(
+    _grown(lambda: classifiers.random_forest(trees=3, maxDepth=3, bootstrap=False, featureSubsetStrategy="all"))
+)
+
 
 @query(
     "pca_invariants",

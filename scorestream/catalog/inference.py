@@ -165,3 +165,64 @@ def tensor_normalize(spark, sf_dir):
         "vec_id", F.posexplode(tensor("content")).alias("place", "value")
     )
     return values.select("vec_id", "place", F.round(F.col("value").cast("double"), 3).alias("value"))
+
+
+@query(
+    "image_header_formats",
+    """
+    SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN NULL ELSE (n_chars % 65536)::INTEGER END AS width,
+           CASE doc_id % 3 WHEN 0 THEN NULL ELSE length(source)::INTEGER END AS height
+    FROM documents
+    """,
+)
+def image_header_formats(spark, sf_dir):
+    """Sizes from GIF and JPEG headers built from two numbers of each document; cut-off headers have none."""
+    documents = table(spark, sf_dir, "documents", "doc_id", "n_chars", "source")
+    wide, high = F.lpad(F.hex(F.col("n_chars") % 65536), 4, "0"), F.lpad(F.hex(F.length("source")), 4, "0")
+
+    def turned(word):
+        return F.concat(F.substring(word, 3, 2), F.substring(word, 1, 2))
+
+    # The GIF signature; JPEG start, an application segment of 16 bytes, the head of a frame.
+    gif = F.concat(F.lit("474946383961"), turned(wide), turned(high))
+    jpeg = F.concat(F.lit("FFD8FFE00010" + "00" * 14 + "FFC0001108"), high, wide, F.lit("03"))
+    cut = F.substring(jpeg, 1, 40)
+    kind = F.col("doc_id") % 3
+    images = documents.select("doc_id", F.unhex(F.when(kind == 0, cut).when(kind == 1, gif).otherwise(jpeg)).alias("content"))
+    return images.select("doc_id", image_size("content").alias("size")).select("doc_id", "size.*")
+
+
+@query(
+    "image_tensor_normalize",
+    f"""
+    WITH cells AS (
+        SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS i, unnest(embedding)::DOUBLE AS x FROM embeddings
+    ), bytes AS (
+        SELECT vec_id, k * 64 + i AS place, (greatest(0, least(255, floor((x + 1) * 127.5)))::INTEGER + 5 * k) % 256 AS b
+        FROM cells, range(48) AS tiles(k)
+    ), scaled AS (
+        SELECT vec_id, place % 3 AS channel, place // 3 AS spot,
+               ((b / 255.0::DOUBLE - list_value{CHANNEL_MEAN}[place % 3 + 1]) / list_value{CHANNEL_STD}[place % 3 + 1])::FLOAT::DOUBLE AS v
+        FROM bytes
+    )
+    SELECT vec_id, channel::INTEGER AS channel, round(sum(v), 3) AS total, round(sum(v * spot), 1) AS weighted
+    FROM scaled GROUP BY vec_id, channel
+    """,
+)
+def image_tensor_normalize(spark, sf_dir):
+    """Images of 32 x 32 pixels and three channels: every channel's sum, plain and weighted by place."""
+    vectors = _vectors(spark, sf_dir)
+    grey = F.transform(
+        "embedding",
+        lambda x: F.greatest(F.lit(0), F.least(F.lit(255), F.floor((x.cast("double") + 1) * 127.5))),
+    )
+    tiles = F.flatten(
+        F.transform(F.sequence(F.lit(0), F.lit(47)), lambda k: F.transform("grey", lambda b: (b + 5 * k) % 256))
+    )
+    payload = F.unhex(F.array_join(F.transform(tiles, lambda b: F.lpad(F.hex(b), 2, "0")), ""))
+    images = vectors.select("vec_id", grey.alias("grey")).select("vec_id", payload.alias("content"))
+    cells = images.select("vec_id", F.posexplode(normalized_tensor_udf()("content")).alias("place", "v"))
+    channel, spot, value = F.expr("place div 1024"), F.col("place") % 1024, F.col("v").cast("double")
+    return cells.groupBy("vec_id", channel.cast("int").alias("channel")).agg(
+        F.round(F.sum(value), 3).alias("total"), F.round(F.sum(value * spot), 1).alias("weighted")
+    )

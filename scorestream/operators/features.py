@@ -10,12 +10,14 @@ from pyspark.ml.feature import (
     IDF,
     PCA,
     CountVectorizer,
+    HashingTF,
     IndexToString,
     RegexTokenizer,
     StandardScaler,
     StopWordsRemover,
     StringIndexer,
     VectorAssembler,
+    VectorIndexer,
 )
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -74,6 +76,18 @@ def scale(column: str = "features", output: str = "scaled", std: bool = True, me
     return StandardScaler(inputCol=column, outputCol=output, withStd=std, withMean=mean)
 
 
+def recode_categories(
+    column: str = "features", output: str = "recoded", most: int = 20, invalid: str = "error"
+) -> VectorIndexer:
+    """Positions with at most ``most`` values become codes, the others stay as they are.
+
+    Zero has code 0, the other values follow in rising order.  Each task holds at
+    most ``most`` + 1 values per position.  ``invalid`` says what becomes of rows
+    with a value that was not seen: ``error``, ``skip``, or ``keep`` as one more code.
+    """
+    return VectorIndexer(inputCol=column, outputCol=output, maxCategories=most, handleInvalid=invalid)
+
+
 def principal_components(k: int, column: str, output: str = "components") -> PCA:
     return PCA(k=k, inputCol=column, outputCol=output)
 
@@ -95,10 +109,13 @@ def term_stages(
     vocab_size: int | None = 10000,
     min_df: float | None = 5,
     idf: bool = False,
+    buckets: int | None = None,
 ) -> list:
     """Tokens to term counts, optionally weighted by document rarity.
 
-    None leaves the library's own limits in place.
+    None leaves the library's own limits in place.  With ``buckets`` terms are
+    counted by the bucket of their hash; that stage learns nothing, so it also
+    serves rows that are not there yet.
     """
     limits = {}
     if vocab_size is not None:
@@ -106,7 +123,10 @@ def term_stages(
     if min_df is not None:
         limits["minDF"] = min_df
     counts = "term_counts" if idf else output
-    stages: list = [CountVectorizer(inputCol=column, outputCol=counts, **limits)]
+    if buckets is not None:
+        stages: list = [HashingTF(inputCol=column, outputCol=counts, numFeatures=buckets)]
+    else:
+        stages = [CountVectorizer(inputCol=column, outputCol=counts, **limits)]
     if idf:
         stages.append(IDF(inputCol=counts, outputCol=output))
     return stages

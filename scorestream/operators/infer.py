@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, functions as F, types as T
 
 from scorestream.schemas import IMAGE_SIZE, PREDICTION
@@ -164,20 +166,13 @@ def cosine_centroid(centroids: np.ndarray) -> Model:
 
 
 def class_centroids(df, label: str, vector: str, max_classes: int = 1000):
-    """Class names and their mean vectors, averaged per position by Spark.
+    """Class names and their mean vectors: one row per vector, summed before it is shuffled.
 
     The result has one vector per class; the number of classes is checked.
     """
-    rows = (
-        df.select(label, F.posexplode(vector).alias("position", "value"))
-        .groupBy(label, "position")
-        .agg(F.avg(F.col("value").cast("double")).alias("value"))
-        .groupBy(label)
-        .agg(F.sort_array(F.collect_list(F.struct("position", "value")))["value"].alias("mean"))
-        .orderBy(label)
-        .limit(max_classes + 1)
-        .collect()
-    )
+    vectors = df.select(label, array_to_vector(vector).alias("_vector"))
+    means = vectors.groupBy(label).agg(vector_to_array(Summarizer.mean(F.col("_vector"))).alias("mean"))
+    rows = means.orderBy(label).limit(max_classes + 1).collect()
     if len(rows) > max_classes:
         raise ValueError(f"{label} has more than {max_classes} classes")
     return [str(row[label]) for row in rows], np.array([row["mean"] for row in rows])

@@ -8,8 +8,8 @@ by nature (``MAX_CLASSES`` is checked) and is the only thing the driver sees.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -20,7 +20,7 @@ from scorestream.workspace import materialize
 MAX_CLASSES = 1000
 
 
-def _class_rows(train: DataFrame, label: str, *aggregates: Column) -> list:
+def class_rows(train: DataFrame, label: str, *aggregates: Column) -> list:
     """Per-class statistics, most frequent class first."""
     grouped = train.where(F.col(label).isNotNull()).groupBy(label)
     rows = grouped.agg(F.count("*").alias("n"), *aggregates).limit(MAX_CLASSES + 1).collect()
@@ -70,7 +70,7 @@ class TermNaiveBayes:
     ) -> TermNaiveBayes:
         sums = [F.sum(c).cast("double").alias(c) for c in numeric]
         lows = [F.min(c).alias(f"_min_{c}") for c in numeric]
-        rows = _class_rows(train, label, *sums, *lows)
+        rows = class_rows(train, label, *sums, *lows)
         if any(row[f"_min_{c}"] is not None and row[f"_min_{c}"] < 0 for row in rows for c in numeric):
             raise ValueError("multinomial naive Bayes needs non-negative features")
         classes = [row[label] for row in rows]
@@ -126,35 +126,54 @@ class TermNaiveBayes:
         )
         return self.terms.select("term", F.inline(per_class))
 
-    def predict(
-        self, df: DataFrame, key: str, tokens: Column, keep: Sequence[str] = ()
-    ) -> DataFrame:
-        """Columns ``key``, ``keep`` and ``prediction``, one row per key; keys must be unique.
-
-        Tokens meet the weight table, then collapse to one row per document on
-        the map side: the shuffle carries one number per class and document.
-        """
-        weights = self.terms.select(
-            "term",
-            *(
-                (self.log_probability(i) * F.col("idf")).alias(f"w_{i}")
-                for i in range(len(self.classes))
-            ),
-        )
-        ids = [key, *keep, *(c for c in self.numeric if c not in keep)]
-        words = df.select(*ids, F.explode_outer(tokens).alias("term"))
-        matched = lookup_join(words, weights, "term", "left", self.table_bytes)
-        summed = matched.groupBy(*ids).agg(
-            *(F.coalesce(F.sum(f"w_{i}"), F.lit(0.0)).alias(f"s_{i}") for i in range(len(self.classes)))
-        )
+    def best_class(self) -> Column:
+        """The likeliest class, from the sums ``predict_each`` makes of a document."""
         scores = []
         for i, prior in enumerate(self.priors):
-            score = F.lit(prior) + F.col(f"s_{i}")
+            score = F.lit(prior) + F.col(f"s_{i}") - F.col("_met") * F.lit(self._denominator(i))
             for c in self.numeric:
                 weight = math.log(self.numeric_total[i][c] + self.smoothing) - self._denominator(i)
                 score = score + F.coalesce(F.col(c), F.lit(0)) * F.lit(weight)
             scores.append(score)
-        return summed.select(key, *keep, _best_class(self.classes, scores).alias("prediction"))
+        return _best_class(self.classes, scores)
+
+    def without_numeric(self) -> TermNaiveBayes:
+        """The model of the terms alone, from the same fit."""
+        return replace(self, numeric=[], numeric_total=[{} for _ in self.classes])
+
+    def predict(
+        self, df: DataFrame, key: str, tokens: Column, keep: Sequence[str] = ()
+    ) -> DataFrame:
+        """Columns ``key``, ``keep`` and ``prediction``, one row per key; keys must be unique."""
+        return predict_each({"prediction": self}, df, key, tokens, keep)
+
+
+def predict_each(
+    models: Mapping[str, TermNaiveBayes], df: DataFrame, key: str, tokens: Column, keep: Sequence[str] = ()
+) -> DataFrame:
+    """One column of predictions per model; the models share one term table, ``key`` is unique.
+
+    Tokens meet the weight table once, then collapse to one row per document on
+    the map side: the shuffle carries one number per class and document, and how
+    much of the table the document met, since models differ in their totals.
+    """
+    first, *others = models.values()
+    if any(other.terms is not first.terms or other.smoothing != first.smoothing for other in others):
+        raise ValueError("the models come from different fits")
+    sides = range(len(first.classes))
+    weights = first.terms.select(
+        "term", "idf", *((F.log(F.col(f"n_{i}") + F.lit(first.smoothing)) * F.col("idf")).alias(f"w_{i}") for i in sides)
+    )
+    numeric = list(dict.fromkeys(c for model in models.values() for c in model.numeric))
+    ids = [key, *keep, *(c for c in numeric if c not in keep)]
+    words = df.select(*ids, F.explode_outer(tokens).alias("term"))
+    matched = lookup_join(words, weights, "term", "left", first.table_bytes)
+    summed = matched.groupBy(*ids).agg(
+        F.coalesce(F.sum("idf"), F.lit(0.0)).alias("_met"),
+        *(F.coalesce(F.sum(f"w_{i}"), F.lit(0.0)).alias(f"s_{i}") for i in sides),
+    )
+    found = [model.best_class().alias(name) for name, model in models.items()]
+    return summed.select(key, *keep, *found)
 
 
 @dataclass
@@ -173,7 +192,7 @@ class GaussianNaiveBayes:
         moments = [
             agg for c in features for agg in (F.avg(c).alias(f"m_{c}"), F.var_pop(c).alias(f"v_{c}"))
         ]
-        rows = _class_rows(train, label, *moments)
+        rows = class_rows(train, label, *moments)
         n_rows = sum(row["n"] for row in rows)
         overall = []
         for c in features:

@@ -23,7 +23,8 @@ class ReviewPlan:
     ``feature_set`` is ``text`` (terms only), ``votes`` (plus the counts) or
     ``full`` (plus their products): the same job with and without a feature
     group.  ``fit_on`` says whether vocabulary and label codes are learnt from
-    the training rows or from all rows.
+    the training rows or from all rows.  ``buckets`` counts terms by hash instead
+    of by vocabulary.
     """
 
     key: str = "review_id"
@@ -36,6 +37,7 @@ class ReviewPlan:
     idf: bool = False
     vocab_size: int | None = 10000
     min_df: float | None = 5
+    buckets: int | None = None
     max_iter: int = 100
     max_depth: int = 5
     train_percent: int = 80
@@ -71,7 +73,7 @@ class ReviewPlan:
         return [
             index_label(self.target, "label"),
             *token_stages(self.text, self.tokenizer),
-            *term_stages(vocab_size=self.vocab_size, min_df=self.min_df, idf=self.idf),
+            *term_stages(vocab_size=self.vocab_size, min_df=self.min_df, idf=self.idf, buckets=self.buckets),
             assemble(["term_vector", *self.numeric_columns()]),
         ]
 
