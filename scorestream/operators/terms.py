@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from scorestream.operators.lookup import lookup_join, measured_bytes
+from scorestream.operators.lookup import BROADCAST_BYTES, lookup_join, measured_bytes
 
 
 def english_stop_words() -> list[str]:
@@ -113,7 +113,33 @@ def counted_terms(df: DataFrame, key: str, tokens: Column) -> DataFrame:
     counted = F.zip_with(
         runs, following, lambda x, y: F.struct(x["term"].alias("term"), (y["at"] - x["at"]).cast("bigint").alias("tf"))
     )
-    return rows.select(key, F.inline(counted))
+    found = rows.select(key, F.inline_outer(counted))
+    return found.where(F.col("term").isNotNull())
+
+
+#: A vocabulary of at most this many terms is counted by the library's model: its own default size.
+MODEL_TERMS = 1 << 18
+
+
+def vocabulary_counts(df: DataFrame, key: str, tokens: Column, table: DataFrame) -> DataFrame:
+    """Per document and term of ``table``: its count ``tf`` and the table's other columns.
+
+    The library's count model hashes the tokens of a row in compiled code; what it
+    makes is a sparse vector whose places name the rows of ``table``, broadcast
+    here.  For tables of at most ``MODEL_TERMS`` different terms, at least one.
+    """
+    listed = table.collect()
+    places = table.sparkSession.createDataFrame(
+        [(i, *row) for i, row in enumerate(listed)],
+        T.StructType([T.StructField("_place", T.IntegerType()), *table.schema.fields]),
+    )
+    model = CountVectorizerModel.from_vocabulary([row["term"] for row in listed], "_tokens", "_counts")
+    rows = model.transform(df.select(key, F.coalesce(tokens, F.array().cast("array<string>")).alias("_tokens")))
+    vector = F.unwrap_udt("_counts")
+    pairs = rows.select(key, F.arrays_zip(vector["indices"].alias("_place"), vector["values"].alias("tf")).alias("_pairs"))
+    # Not ``inline``: its inferred filter on the length of the pairs would count every row once more, below the scan.
+    counts = pairs.select(key, F.inline_outer("_pairs")).withColumn("tf", F.col("tf").cast("bigint"))
+    return counts.join(F.broadcast(places), "_place").drop("_place")
 
 
 def term_weights(
@@ -125,9 +151,12 @@ def term_weights(
     a written table, fits the look-up limit; above it (document, term) rows meet
     the table by salted keys.
     """
-    rows = counted_terms(df, key, tokens)
-    if stop_words:
-        rows = rows.where(~F.col("term").isin(list(stop_words)))
     table = idf.select("term", "idf")
-    joined = lookup_join(rows, table, "term", "inner", measured_bytes(table))
+    if stop_words:
+        table = table.where(~F.col("term").isin(list(stop_words)))
+    size = measured_bytes(table)
+    if size <= BROADCAST_BYTES and 0 < table.count() <= MODEL_TERMS:
+        joined = vocabulary_counts(df, key, tokens, table)
+    else:
+        joined = lookup_join(counted_terms(df, key, tokens), table, "term", "inner", size)
     return joined.select(key, "term", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
