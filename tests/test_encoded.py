@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from scorestream.catalog.exact import _nested_sql
 from scorestream.functions.text import word_tokens
-from scorestream.operators import classifiers, features, hashed, metrics
+from scorestream.operators import classifiers, features, hashed, metrics, terms
 from scorestream.operators.naive_bayes import TermNaiveBayes, predict_each
 from scorestream.operators.split import is_train
 from scorestream.plans.review import ReviewPlan
@@ -114,3 +114,14 @@ def test_several_models_in_one_pass_equal_each_alone(spark, documents):
     assert {r.prediction for r in TermNaiveBayes.fit(rows, "lang", words()).predict(rows, "doc_id", words()).collect()}
     with pytest.raises(ValueError):
         predict_each({"a": full, "b": TermNaiveBayes.fit(rows, "lang", words())}, rows, "doc_id", words())
+
+
+def test_both_ways_to_weigh_terms_agree(spark, monkeypatch):
+    rows = [(1, ["a", "b", "a", "the"]), (2, []), (3, None), (4, ["zzz"]), (5, ["b", None])]
+    df = spark.createDataFrame(rows, "id int, w array<string>")
+    idf = spark.createDataFrame([("a", 2.0), ("b", 0.5), ("the", 1.0), ("none", 3.0)], "term string, idf double")
+    expected = {(1, "a", 2, 4.0), (1, "b", 1, 0.5), (5, "b", 1, 0.5)}
+    for most in (terms.MODEL_TERMS, 0):
+        monkeypatch.setattr(terms, "MODEL_TERMS", most)
+        got = terms.term_weights(df, "id", F.col("w"), idf, ["the"]).collect()
+        assert {(r.id, r.term, r.tf, r.tfidf) for r in got} == expected and len(got) == 3
