@@ -92,3 +92,53 @@ def test_unusable_few_and_repeated_rows(spark):
     assert result == brute(rows, 5, lambda i: i % 10 == 0)
     assert [r[:3] for r in result if r[0] == 70] == [(70, 1, 3)]
     assert found(df.limit(0)) == []
+
+
+def clustered(spark, clusters=40, rows=50):
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(clusters, 16))
+    rows = [(i, centres[i % clusters] + 0.02 * rng.normal(size=16)) for i in range(clusters * rows)]
+    return frame(spark, rows)
+
+
+def test_clustered_queries_go_to_few_shards(spark):
+    df, rows = clustered(spark)
+    asks = F.col("vec_id") % 10 == 0
+    layout = vantage.lay_out(df, asks, shard_rows=50)
+    assert layout.shards >= 30 and layout.placed.count() == len(rows)
+    assert layout.placed.groupBy("shard").count().agg(F.max("count")).first()[0] <= 75
+    home = vantage._searched(layout, layout.queries.withColumn("floor", F.lit(float("-inf"))), 5, 1.0)
+    sent = vantage.sent_on(layout, vantage.with_floor(layout.queries, home, 5))
+    assert sent.count() < 0.2 * layout.shards * layout.queries.count()
+    assert found(df, shard_rows=50) == brute(rows, 5, lambda i: i % 10 == 0)
+
+
+def test_a_vector_with_a_third_of_all_rows_is_shared_out(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=6)) for i in range(200)] + [(7, [1.0] * 6)] * 100
+    df, rows = frame(spark, rows)
+    layout = vantage.lay_out(df, F.col("vec_id") % 10 == 0, shard_rows=20)
+    sizes = [r["count"] for r in layout.placed.groupBy("shard").count().collect()]
+    assert max(sizes) <= 40 and sum(sizes) == 300
+    assert found(df, shard_rows=20) == brute(rows, 5, lambda i: i % 10 == 0)
+
+
+def test_a_factor_above_one_sends_fewer_queries_on(spark):
+    rng = np.random.default_rng(9)
+    df, _ = frame(spark, [(i, rng.normal(size=5)) for i in range(1000)])
+    layout = vantage.lay_out(df, F.col("vec_id") % 10 == 0, shard_rows=40)
+    home = vantage._searched(layout, layout.queries.withColumn("floor", F.lit(float("-inf"))), 5, 1.0)
+    bounded = vantage.with_floor(layout.queries, home, 5)
+    counts = [vantage.sent_on(layout, bounded, relax).count() for relax in (1.0, 2.0, 1e9)]
+    assert counts[0] > counts[1] >= counts[2]
+    assert layout.queries.count() * layout.shards > counts[0]
+    exact = {r[:3] for r in found(df, shard_rows=40)}
+    assert len({r[:3] for r in found(df, shard_rows=40, relax=1.3)} & exact) >= 0.9 * len(exact)
+
+
+def test_widths_the_sample_has_not_met_are_searched(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    rows = [(i, rng.normal(size=3 if i % 100 else 4)) for i in range(600)]
+    df, rows = frame(spark, rows)
+    monkeypatch.setattr(vantage, "LEAF_SAMPLE", 1)
+    assert found(df, shard_rows=100) == brute(rows, 5, lambda i: i % 10 == 0)
