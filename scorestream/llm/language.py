@@ -1,11 +1,11 @@
 """Language identification by prediction by partial matching over bytes.
 
-Every language has a context tree of up to three preceding bytes with symbol
-counts (escape method C, with exclusion).  The statistics are frozen after
-training, so a tree is a table of code lengths: one row per context, one column
-per byte class.  A text belongs to the language whose tree codes it in the
-fewest bits.  Bytes are folded to 128 classes: letters without case, one class
-each for blanks, digits and other ASCII, and the bytes above 127.
+Every language has a context tree of up to four preceding bytes with counts of
+the byte that follows (escape method C, with exclusion).  The statistics are
+frozen after training, so a tree is a table of code lengths: one row per context,
+one column per byte.  A text belongs to the language whose tree codes it in the
+fewest bits.  The alphabet is all 256 byte values; those that no training text
+holds are coded alike in every context, so they share a column.
 """
 
 from __future__ import annotations
@@ -20,130 +20,150 @@ from pyspark.sql import functions as F
 
 from scorestream.llm.frames import byte_buffers, in_held_out_fold, keyed_text
 
-SYMBOLS = 128
-BLANK = 0
+SYMBOLS = 256
+#: Most preceding bytes of a context.
+ORDER = 4
+BLANK = 32
 UNDETERMINED = "und"
-WINDOW = 1 << 20
+WINDOW = 1 << 19
 UNIFORM_BITS = float(np.log2(SYMBOLS))
+#: Contexts whose code lengths are worked out at once.
+CONTEXTS_AT_ONCE = 8192
 
 
-def byte_classes() -> np.ndarray:
-    """Class of each of the 256 byte values."""
-    classes = np.full(256, 28, np.int64)
-    classes[[9, 10, 11, 12, 13, 32]] = BLANK
-    letters = np.arange(26)
-    classes[65 + letters] = classes[97 + letters] = 1 + letters
-    classes[48:58] = 27
-    classes[128:192] = 32 + np.arange(64)
-    classes[192:256] = 96 + np.arange(64) // 2
-    return classes
+def surroundings(raw: np.ndarray, bounds: np.ndarray, start: int, stop: int) -> list[np.ndarray]:
+    """The bytes at positions start..stop, then those one, two, ... ORDER places before them.
 
-
-CLASSES = byte_classes()
-
-
-def context_codes(raw: np.ndarray, bounds: np.ndarray, start: int, stop: int) -> np.ndarray:
-    """Of positions start..stop: three preceding classes and the own one, 7 bits each.
-
-    A text begins after three blanks, whatever stands before it in the buffer.
+    A text begins after blanks, whatever stands before it in the buffer.
     """
-    lead = min(3, start)
-    classes = CLASSES[raw[start - lead : stop]]
-    padded = np.concatenate([np.zeros(3 - lead, np.int64), classes])
+    lead = min(ORDER, start)
+    padded = np.concatenate([np.full(ORDER - lead, BLANK, np.uint8), raw[start - lead : stop]])
     size = stop - start
-    codes = padded[3 : 3 + size].copy()
-    first, last = np.searchsorted(bounds[:-1], [start - 3, stop])
+    first, last = np.searchsorted(bounds[:-1], [start - ORDER, stop])
     begins = bounds[first:last]
-    for back in (1, 2, 3):
-        before = padded[3 - back : 3 - back + size].copy()
+    found = [padded[ORDER:]]
+    for back in range(1, ORDER + 1):
+        before = padded[ORDER - back : ORDER - back + size].copy()
         for ahead in range(back):
             inside = begins + ahead
             inside = inside[(inside >= start) & (inside < stop)]
             before[inside - start] = BLANK
-        codes |= before << (7 * back)
-    return codes
+        found.append(before)
+    return found
+
+
+@dataclass
+class CodeTable:
+    """One unfolded tree.
+
+    ``longer[k]`` leads from a context of k bytes and the byte before it to the
+    context of k + 1 bytes, each numbered from 1 within its length; 0 stands for
+    one never seen.  ``bases[k]`` is added to find its row in ``lengths``.
+    """
+
+    longer: list[np.ndarray]
+    bases: list[int]
+    lengths: np.ndarray
+
+    def cost(self, columns: list[np.ndarray]) -> np.ndarray:
+        """Bits of every position, coded in its longest context that was seen."""
+        width = self.lengths.shape[1]
+        row = np.zeros(len(columns[0]), np.int64)
+        state = np.ones(len(columns[0]), np.int64)
+        for k, steps in enumerate(self.longer):
+            state = steps.ravel()[state * width + columns[k + 1]].astype(np.int64)
+            row = np.where(state > 0, state + self.bases[k + 1], row)
+        return self.lengths.ravel()[row * width + columns[0]]
 
 
 @dataclass
 class ContextTrees:
-    """Code lengths of several languages over the same byte classes.
+    """Code lengths of several languages over the same alphabet.
 
-    ``counts`` holds, per language, the four-symbol codes seen in training and
-    how often.  Tables are unfolded on first use in a process.
+    ``counts`` holds, per language, the codes seen in training (a byte and those
+    before it, the nearest lowest) and how often.  Tables are unfolded on first
+    use in a process.
     """
 
     languages: list[str]
     counts: list[tuple[np.ndarray, np.ndarray]]
     _tables: list = field(default_factory=list, repr=False)
 
-    def tables(self) -> list[tuple[np.ndarray, np.ndarray]]:
+    def alphabet(self) -> np.ndarray:
+        """Column of each byte value: 0 for those that no training text holds."""
+        seen = np.zeros(SYMBOLS, bool)
+        seen[BLANK] = True
+        for codes, _ in self.counts:
+            seen[codes & (SYMBOLS - 1)] = True
+        return np.where(seen, np.cumsum(seen), 0)
+
+    def tables(self) -> list[CodeTable]:
         if not self._tables:
-            self._tables = [code_lengths(*c) for c in self.counts]
+            columns = self.alphabet()
+            self._tables = [unfolded(*c, columns) for c in self.counts]
         return self._tables
 
     def bits(self, raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Code length in bits of each text (rows) under each language (columns)."""
         total = np.zeros((len(bounds) - 1, len(self.languages)))
+        alphabet = self.alphabet()
         for start in range(0, len(raw), WINDOW):
             stop = min(start + WINDOW, len(raw))
-            codes = context_codes(raw, bounds, start, stop)
-            context, symbol = codes >> 7, codes & (SYMBOLS - 1)
+            columns = [alphabet[part] for part in surroundings(raw, bounds, start, stop)]
             first = np.searchsorted(bounds, start, "right") - 1
             last = np.searchsorted(bounds, stop, "left")
             cuts = np.clip(bounds[first:last], start, stop) - start
             full = np.flatnonzero(np.diff(np.append(cuts, stop - start)))
-            for column, (rows, lengths) in enumerate(self.tables()):
-                cost = lengths.ravel()[rows[context].astype(np.int64) * SYMBOLS + symbol]
-                total[first + full, column] += np.add.reduceat(cost, cuts[full], dtype=np.float64)
+            for column, table in enumerate(self.tables()):
+                total[first + full, column] += np.add.reduceat(table.cost(columns), cuts[full], dtype=np.float64)
         return total
 
     def __getstate__(self):
         return {"languages": self.languages, "counts": self.counts, "_tables": []}
 
 
-def code_lengths(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row of each three-symbol context, code lengths of its 128 symbols).
-
-    Contexts never seen share the row of their longest seen ending.
-    """
-    order = [np.zeros((SYMBOLS**k, SYMBOLS), np.float32) for k in range(3)]
-    for k in range(3):
-        np.add.at(order[k].reshape(-1), codes % SYMBOLS ** (k + 1), counts)
-    seen, where = np.unique(codes >> 7, return_inverse=True)
-    deepest = np.zeros((len(seen), SYMBOLS), np.float32)
-    np.add.at(deepest, (where, codes & (SYMBOLS - 1)), counts)
-
-    rows = np.zeros(SYMBOLS**3, np.int32)
-    parts, used = [], 0
-    for k in range(4):
-        if k == 3:
-            contexts, own = seen, deepest
-        else:
-            contexts = np.flatnonzero(order[k].any(axis=1)) if k else np.zeros(1, np.int64)
-            own = order[k][contexts]
-        numbers = np.arange(used, used + len(contexts), dtype=np.int32)
-        shape = rows.reshape(SYMBOLS ** (3 - k), SYMBOLS**k)
-        shape[:, contexts] = numbers
-        lengths = np.zeros(own.shape, np.float32)
-        spent = np.zeros(len(contexts), np.float32)
-        coded = np.zeros(own.shape, bool)
-        for depth in range(k, -1, -1):
-            level = own if depth == k else order[depth][contexts % SYMBOLS**depth]
-            level = np.where(coded, 0, level)
-            total, kinds = level.sum(axis=1), (level > 0).sum(axis=1)
-            mass = np.maximum(total + kinds, 1)
-            with np.errstate(divide="ignore"):
-                own_bits = np.log2(mass)[:, None] - np.log2(level)
-                escape = np.log2(mass) - np.log2(kinds)
-            fresh = level > 0
-            lengths = np.where(fresh, spent[:, None] + own_bits, lengths)
-            spent = spent + np.where(kinds > 0, escape, 0)
-            coded |= fresh
-        rest = np.log2(np.maximum(SYMBOLS - coded.sum(axis=1), 1))
-        lengths = np.where(coded, lengths, (spent + rest)[:, None])
-        parts.append(lengths.astype(np.float32))
-        used += len(contexts)
-    return rows, np.concatenate(parts)
+def unfolded(codes: np.ndarray, counts: np.ndarray, columns: np.ndarray) -> CodeTable:
+    """Code lengths of every byte in every context seen, by escapes to ever shorter contexts."""
+    width = int(columns.max()) + 1
+    contexts, parents, follow, longer, bases = [], [], [], [], []
+    for k in range(ORDER + 1):
+        seen, where = np.unique((codes >> 8) & (256**k - 1), return_inverse=True)
+        own = np.zeros((len(seen), width), np.float32)
+        np.add.at(own, (where, columns[codes & 255]), counts)
+        parent = np.searchsorted(contexts[-1], seen & (256 ** (k - 1) - 1)) if k else np.zeros(1, np.int64)
+        if k:
+            steps = np.zeros((len(contexts[-1]) + 1, width), np.int32)
+            steps[parent + 1, columns[seen >> (8 * (k - 1))]] = np.arange(1, len(seen) + 1)
+            longer.append(steps)
+        bases.append(sum(map(len, contexts)) - 1)
+        contexts.append(seen)
+        parents.append(parent)
+        follow.append(own)
+    lengths = np.zeros((sum(map(len, contexts)), width), np.float32)
+    for k in range(ORDER + 1):
+        for at in range(0, len(contexts[k]), CONTEXTS_AT_ONCE):
+            rows = np.arange(at, min(at + CONTEXTS_AT_ONCE, len(contexts[k])))
+            lengths[bases[k] + 1 + rows] = _lengths(rows, k, follow, parents)
+    return CodeTable(longer, bases, lengths)
+
+
+def _lengths(rows: np.ndarray, order: int, follow: list[np.ndarray], parents: list[np.ndarray]) -> np.ndarray:
+    bits = np.zeros((len(rows), follow[0].shape[1]), np.float32)
+    spent = np.zeros(len(rows), np.float32)
+    coded = np.zeros(bits.shape, bool)
+    for depth in range(order, -1, -1):
+        level = np.where(coded, 0, follow[depth][rows])
+        kinds = (level > 0).sum(axis=1)
+        mass = np.log2(np.maximum(level.sum(axis=1) + kinds, 1))
+        with np.errstate(divide="ignore"):
+            own_bits = mass[:, None] - np.log2(level)
+            escape = mass - np.log2(kinds)
+        bits = np.where(level > 0, spent[:, None] + own_bits, bits)
+        spent = spent + np.where(kinds > 0, escape, 0)
+        coded |= level > 0
+        rows = parents[depth][rows]
+    rest = np.log2(np.maximum(SYMBOLS - coded.sum(axis=1), 1))
+    return np.where(coded, bits, (spent + rest)[:, None])
 
 
 def _count_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +173,9 @@ def _count_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owner = np.repeat(np.arange(len(names)), np.diff(bounds))
         for start in range(0, len(raw), WINDOW):
             stop = min(start + WINDOW, len(raw))
-            codes = context_codes(raw, bounds, start, stop)
+            codes = np.zeros(stop - start, np.int64)
+            for back, part in enumerate(surroundings(raw, bounds, start, stop)):
+                codes |= part.astype(np.int64) << (8 * back)
             spoken = names[owner[start:stop]]
             for lang in set(names[np.unique(owner[start:stop])]):
                 found, times = np.unique(codes[spoken == lang], return_counts=True)
@@ -254,7 +276,7 @@ def identify(
 def with_language(
     docs: DataFrame, trees: ContextTrees, text_column: str = "text", lang_column: str = "lang"
 ) -> DataFrame:
-    """Rows whose text the best tree codes in fewer bits than its byte classes take, ``lang`` predicted.
+    """Rows whose text the best tree codes in fewer bits than its bytes take, ``lang`` predicted.
 
     Same columns and rows otherwise.  Texts are judged where they are read.  Rows
     with a null or empty text go; without any language to tell all rows stay as

@@ -14,19 +14,18 @@ def trees(spark):
 
 
 def brute_bits(counts, text):
-    """Code length of one text, symbol by symbol, from counts of four-symbol codes."""
-    n = language.SYMBOLS
+    """Code length of one text, byte by byte, from counts of a byte and the four before it."""
     seen = {}
     for code, times in zip(*counts):
-        symbols = [code >> 21 & 127, code >> 14 & 127, code >> 7 & 127, code & 127]
-        for k in range(4):
-            table = seen.setdefault(tuple(symbols[3 - k : 3]), {})
-            table[symbols[3]] = table.get(symbols[3], 0) + times
-    stream = [0, 0, 0, *language.CLASSES[list(text)]]
+        *before, own = int(code).to_bytes(5, "big")
+        for k in range(5):
+            table = seen.setdefault(tuple(before[4 - k :]), {})
+            table[own] = table.get(own, 0) + times
+    stream = [*b"    ", *text]
     bits = 0.0
-    for at in range(3, len(stream)):
+    for at in range(4, len(stream)):
         coded = set()
-        for k in (3, 2, 1, 0):
+        for k in (4, 3, 2, 1, 0):
             table = seen.get(tuple(stream[at - k : at]), {})
             table = {s: c for s, c in table.items() if s not in coded}
             if not table:
@@ -38,12 +37,12 @@ def brute_bits(counts, text):
             bits -= np.log2(len(table) / mass)
             coded |= set(table)
         else:
-            bits += np.log2(n - len(coded))
+            bits += np.log2(256 - len(coded))
     return bits
 
 
 def test_code_lengths_equal_a_walk_through_the_trees(trees):
-    for text in (b"the thing", "Über straße 12!".encode(), b"", b"zq\x00\xffxq", b"a"):
+    for text in (b"the thing", "Über straße 12!".encode(), b"", b"zq\x00\xffxq", b"a", "ТОЖ 漢字 Ünd THE the".encode()):
         raw, bounds = np.frombuffer(b"abc" + text, np.uint8), np.array([0, 3, 3 + len(text)])
         found = trees.bits(raw, bounds)[1]
         expected = [brute_bits(c, text) for c in trees.counts]
@@ -98,3 +97,20 @@ def test_without_languages_every_row_stays(spark):
     docs = spark.createDataFrame([(1, "text", None), (2, None, None)], "doc_id long, text string, lang string")
     trees = language.fit_trees(docs)
     assert not trees.languages and sorted(r["doc_id"] for r in language.with_language(docs, trees).collect()) == [1, 2]
+
+
+def test_every_byte_value_is_a_symbol_of_its_own(spark):
+    docs = [(i, text, lang) for i in range(40) for text, lang in (("да нет", "ru"), ("ÐАзÑб", "xx"))]
+    trees = language.fit_trees(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    column = trees.alphabet()
+    assert column[0xD0] and column[0xD1] and column[0xD0] != column[0xD1]
+    assert column[0x00] == column[0xFF] == 0
+    longest = max(len(t.longer) for t in trees.tables())
+    assert longest == 4 and all(t.lengths.min() > 0 for t in trees.tables())
+
+
+def test_blocks_of_contexts_do_not_change_code_lengths(trees, monkeypatch):
+    columns = trees.alphabet()
+    whole = language.unfolded(*trees.counts[0], columns).lengths
+    monkeypatch.setattr(language, "CONTEXTS_AT_ONCE", 100)
+    assert np.array_equal(language.unfolded(*trees.counts[0], columns).lengths, whole)
