@@ -157,20 +157,23 @@ _STEM_NB_SQL = (
 ).replace("< 80", "< 70").replace("HAVING count(DISTINCT doc_id) >= 5 ", "").replace("LIMIT 10000", "LIMIT 262144")
 
 
-def _reviews(spark, sf_dir):
-    """Documents with their quality grade and three counts taken from the text.
+def _reviews(spark, sf_dir, plan):
+    """Graded documents with three counts and the tokens of their text, written once.
 
-    Written once: the job reads its rows several times, and on stored counts
-    its filters reach the scan.
+    Texts without a grade go before any work on texts: the grades are two narrow
+    columns, sent to the texts while they fit the engine's limit and met by a
+    filtered join beyond.  The job reads its rows several times, and on stored
+    counts its filters reach the scan.
     """
-    labels = table(spark, sf_dir, "labels", "doc_id", "quality")
-    return materialize(text_votes(documents(spark, sf_dir)).join(labels, "doc_id"), "reviews")
+    grades = table(spark, sf_dir, "labels", "doc_id", "quality").dropna()
+    graded = documents(spark, sf_dir).join(grades, "doc_id")
+    return materialize(plan.with_tokens(text_votes(graded)), "reviews")
 
 
 def _review(**how):
     def run(spark, sf_dir):
         plan = ReviewPlan(key="doc_id", target="quality", votes=VOTE_COLUMNS, **how)
-        prepared = plan.prepare(_reviews(spark, sf_dir))
+        prepared = plan.prepare(_reviews(spark, sf_dir, plan))
         scored = plan.score(plan.fit(prepared), prepared)
         return _rounded(plan.report(scored))
 

@@ -15,6 +15,9 @@ from scorestream.operators.features import assemble, checked_labels, index_label
 from scorestream.operators.split import is_train
 from scorestream.sources.artifacts import chain_models
 
+#: The column of filtered tokens.
+TOKENS = "filtered"
+
 
 @dataclass(frozen=True)
 class ReviewPlan:
@@ -59,7 +62,20 @@ class ReviewPlan:
         if self.vote_range:
             rows = rows.where(all_between(self.votes, *self.vote_range))
         wide = with_interactions(rows, self._products(), real_product)
-        return drop_null_rows(wide, [self.text, *self.numeric_columns()])
+        content = TOKENS if TOKENS in df.columns else self.text
+        return drop_null_rows(wide, [content, *self.numeric_columns()])
+
+    def with_tokens(self, df: DataFrame) -> DataFrame:
+        """Clean rows with their tokens in place of the text.
+
+        Stored once and then prepared, fitted and scored, they spare the jobs
+        that read their rows several times all but one pass over the texts.
+        Models fitted on them still take texts.
+        """
+        rows = clean_rows(df) if self.clean else df
+        rows = drop_null_rows(rows, [self.text])
+        staged = PipelineModel(stages=token_stages(self.text, self.tokenizer, TOKENS)).transform(rows)
+        return staged.select(*(c for c in df.columns if c != self.text), TOKENS)
 
     def _products(self) -> dict[str, tuple[str, ...]]:
         return vote_interactions(*self.votes) if self.feature_set == "full" else {}
@@ -72,7 +88,7 @@ class ReviewPlan:
     def feature_stages(self) -> list:
         return [
             index_label(self.target, "label"),
-            *token_stages(self.text, self.tokenizer),
+            *token_stages(self.text, self.tokenizer, TOKENS),
             *term_stages(vocab_size=self.vocab_size, min_df=self.min_df, idf=self.idf, buckets=self.buckets),
             assemble(["term_vector", *self.numeric_columns()]),
         ]
@@ -93,13 +109,17 @@ class ReviewPlan:
         """Feature pipeline and classifier, apart, so that they can be stored apart."""
         train = self.training_rows(prepared)
         basis = checked_labels(prepared if self.fit_on == "all" else train, self.target)
-        features = Pipeline(stages=self.feature_stages()).fit(basis)
-        vectors = features.transform(train).select("label", "features")
+        stages = self.feature_stages()
+        needed = _needed(stages, basis)
+        fitted = Pipeline(stages=needed).fit(basis)
+        learnt = iter(fitted.stages)
+        features = PipelineModel(stages=[next(learnt) if stage in needed else stage for stage in stages])
+        vectors = fitted.transform(train).select("label", "features")
         return features, Pipeline(stages=[self.classifier_stage()]).fit(vectors)
 
     def score(self, models: Sequence[PipelineModel], df: DataFrame) -> DataFrame:
         """Key, label, prediction and whether the row was trained on."""
-        scored = chain_models(*models).transform(df)
+        scored = PipelineModel(stages=_needed(chain_models(*models).stages, df)).transform(df)
         return scored.select(
             self.key,
             "label",
@@ -110,3 +130,12 @@ class ReviewPlan:
     def report(self, scored: DataFrame) -> DataFrame:
         """(part, metric, value) rows for train and test, from one pass."""
         return metrics.metrics_long(metrics.evaluate(scored, by=["part"]), ["part"])
+
+
+def _needed(stages: Sequence, df: DataFrame) -> list:
+    """The stages that rows still need: none that makes tokens where they have them."""
+    if TOKENS not in df.columns:
+        return list(stages)
+    inputs = {s.getInputCol() for s in stages if s.hasParam("outputCol") and s.getOutputCol() == TOKENS}
+    made = inputs | {TOKENS}
+    return [s for s in stages if not (s.hasParam("outputCol") and s.getOutputCol() in made)]

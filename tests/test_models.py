@@ -257,3 +257,20 @@ def test_too_many_labels_are_refused(spark):
     with pytest.raises(ValueError):
         features.checked_labels(df, "label_text", most=20)
     assert features.checked_labels(df, "label_text", most=30) is df
+
+
+def test_stored_tokens_give_the_same_models_as_texts(spark):
+    rows = [(i, "good fine great" if i % 2 else "bad poor\nawful", i % 2, 1, 2, 3) for i in range(60)]
+    rows += [(100, None, 1, 1, 1, 1), (101, " ", 1, 1, 1, 1), (102, "good bad", None, 1, 1, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, stars int, funny int, useful int, cool int")
+    plan = ReviewPlan(key="doc_id", min_df=1, classifier="nb")
+    stored = plan.prepare(plan.with_tokens(df))
+    assert "text" not in stored.columns and stored.count() == 60
+    texts = plan.prepare(df)
+    from_tokens, from_texts = plan.fit(stored), plan.fit(texts)
+    found = [
+        sorted(map(tuple, plan.score(models, part).collect()))
+        for models in (from_tokens, from_texts)
+        for part in (stored, texts)
+    ]
+    assert found[0] == found[1] == found[2] == found[3] and len(found[0]) == 60
