@@ -8,9 +8,11 @@ has no effect and every result is final.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -75,36 +77,81 @@ def followed_by(
 
 
 class Rolling:
-    """The last ``size`` flags of a key, and rows that still wait for earlier ones.
+    """The last ``size`` rows of every key, and rows that still wait for earlier ones.
 
-    Rows are (time in microseconds, id, flag).  The state is text: flags, whether the
-    alarm is on, and the waiting rows.
+    Rows are (key, time in microseconds, id, flag).  The state is one Arrow table
+    of all of them, so many keys are taken forward at once, column by column.
     """
 
-    schema = "flags string, raised boolean, waiting string"
+    schema = "rows binary"
 
     def __init__(self, size: int, limit: int):
         self.size = size
         self.limit = limit
 
     def advance(self, state: tuple | None, rows: list[tuple], until: int | None) -> tuple[tuple, list[tuple], int | None]:
-        """The new state, (time, id, n_flagged, raised) where the alarm goes on or off, and the first time still waiting.
-
-        Rows up to ``until``, all if it is None, are taken in the order of time and id.
+        """``advance_keys`` for the rows (time, id, flag) of one key."""
+        frame = pd.DataFrame([(0, t, i, bool(f)) for t, i, f in rows], columns=["key", "micros", "id", "flag"])
+        after, changes, due = self.advance_keys(state, [frame], until)
+        names = ("micros", "id", "n_flagged", "raised")
+        return after, list(zip(*(changes[c].tolist() for c in names))), due
+
+    def advance_keys(
+        self, state: tuple | None, frames: Iterable[pd.DataFrame], until: int | None
+    ) -> tuple[tuple | None, pd.DataFrame, int | None]:
+        """The new state, (key, micros, id, n_flagged, raised) where a key's alarm goes on or off, and the first time waiting.
+
+        Rows up to ``until``, all if it is None, are taken key by key in the order
+        of time and id.  Whether an alarm is on follows from the last ``size`` rows
+        of its key, which stay in the state.
         """
-        flags, raised, waiting = state or ("", False, "")
-        old = [tuple(map(int, w.split(":"))) for w in waiting.split(";") if w]
-        ready = sorted([*old, *((t, i, int(f)) for t, i, f in rows)])
-        cut = len(ready) if until is None else sum(r[0] <= until for r in ready)
-        changes = []
-        for time, row_id, flag in ready[:cut]:
-            flags = (flags + str(flag))[-self.size :]
-            n = flags.count("1")
-            if (n >= self.limit) != raised:
-                raised = not raised
-                changes.append((time, row_id, n, raised))
-        left = ready[cut:]
-        return (flags, raised, ";".join(f"{t}:{i}:{f}" for t, i, f in left)), changes, left[0][0] if left else None
+        known = [_unpacked(state[0])] if state else []
+        known += [[*(frame[c].to_numpy() for c in _ROW), np.zeros(len(frame), dtype=bool)] for frame in frames if len(frame)]
+        if not known:
+            return state, _NO_CHANGES, None
+        rows = [np.concatenate(column) for column in zip(*known)] if len(known) > 1 else known[0]
+        waits = ~rows[4] & (rows[1] > until) if until is not None else np.zeros(len(rows[0]), dtype=bool)
+        waiting, rows = [c[waits] for c in rows], [c[~waits] for c in rows]
+        keys, micros, ids, flags, past = rows
+        codes, at = pd.factorize(keys)[0], np.arange(len(keys))
+        # Rows taken before keep their order and come first.
+        order = np.lexsort((flags, ids, micros, np.where(past, at, 0), ~past, codes))
+        keys, micros, ids, flags, past, codes = (c[order] for c in (*rows, codes))
+        first = np.diff(codes, prepend=-1) != 0
+        start = np.maximum.accumulate(np.where(first, at, 0))
+        sums = np.concatenate([[0], np.cumsum(flags, dtype="int64")])
+        flagged = sums[1:] - sums[np.maximum(start, at - self.size + 1)]
+        raised = flagged >= self.limit
+        was = np.concatenate([[False], raised[:-1]])[: len(raised)] & ~first
+        turns = ~past & (raised != was)
+        found = (keys[turns], micros[turns], ids[turns], flagged[turns], raised[turns])
+        ends = np.append(first[1:], True)[: len(first)]
+        end = np.minimum.accumulate(np.where(ends, at, len(at))[::-1])[::-1]
+        kept = at > end - self.size
+        past = np.ones(int(kept.sum()), dtype=bool)
+        after = [np.concatenate(c) for c in zip([keys[kept], micros[kept], ids[kept], flags[kept], past], waiting)]
+        changes = pd.DataFrame(dict(zip(_NO_CHANGES, found))) if turns.any() else _NO_CHANGES
+        return (_packed(after),), changes, int(waiting[1].min()) if len(waiting[1]) else None
+
+
+_ROW = ("key", "micros", "id", "flag")
+_NO_CHANGES = pd.DataFrame({"key": [], "micros": [], "id": [], "n_flagged": [], "raised": []})
+
+
+def _packed(rows: list[np.ndarray]) -> bytes:
+    batch, sink = pa.RecordBatch.from_arrays([pa.array(c) for c in rows], [*_ROW, "past"]), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    table = pa.ipc.open_stream(pa.py_buffer(bytes(data))).read_all()
+    return [column.to_numpy() for column in table.columns]
+
+
+#: Groups of keys of ``rolling_alarms``; a call to Python takes all rows of a group in a micro-batch.
+_KEY_GROUPS = 256
 
 
 def rolling_alarms(
@@ -114,44 +161,37 @@ def rolling_alarms(
 
     Rows are taken in event time, ties by id, whatever their order of arrival: a
     row waits in the state until the watermark has passed it, when a timer calls
-    for it.  State per key: ``size`` flags and the rows of one ``delay``.  Rows
-    with a null key, time, id or flag take no part.
+    for it.  State per key: ``size`` rows and the rows of one ``delay``.  Keys are
+    dealt by their hash into groups that share a state, so a micro-batch costs a
+    call per group and not per key.  Rows with a null key, time, id or flag take
+    no part.
     """
     rolling = Rolling(size, limit)
     kind = events.schema[key].dataType.simpleString()
     out = f"key {kind}, micros long, id long, n_flagged long, raised boolean"
 
-    def taken(frames: Iterator[pd.DataFrame]) -> list[tuple]:
-        return [(int(t), int(i), bool(f)) for frame in frames for t, i, f in zip(frame["micros"], frame["id"], frame["flag"])]
-
-    def told(name: tuple, changes: list[tuple]) -> pd.DataFrame:
-        times, ids, counts, raised = zip(*changes) if changes else ((), (), (), ())
-        columns = {"micros": (times, "int64"), "id": (ids, "int64"), "n_flagged": (counts, "int64"), "raised": (raised, "bool")}
-        found = pd.DataFrame({c: pd.Series(v, dtype=d) for c, (v, d) in columns.items()})
-        found.insert(0, "key", [name[0]] * len(found))
-        return found
-
     def step(name: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         passed = state.getCurrentWatermarkMs()
-        after, changes, due = rolling.advance(state.get if state.exists else None, taken(frames), passed * 1000)
-        state.update(after)
+        after, changes, due = rolling.advance_keys(state.get if state.exists else None, frames, passed * 1000)
+        if after is not None:
+            state.update(after)
         if due is not None:
             state.setTimeoutTimestamp(max(due // 1000 + 1, passed + 1))
-        if changes:
-            yield told(name, changes)
+        if len(changes):
+            yield changes
 
     def whole(name: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        return told(name, rolling.advance(None, taken(iter([frame])), None)[1])
+        return rolling.advance_keys(None, [frame], None)[1]
 
     rows = events.dropna(subset=[key, time, row_id, flag])
     if events.isStreaming:
         rows = rows.withWatermark(time, delay)
     rows = rows.select(
         F.col(key).alias("key"), F.col(time).alias("time"), F.unix_micros(time).alias("micros"),
-        F.col(row_id).cast("long").alias("id"), F.col(flag).cast("boolean").alias("flag"),
+        F.pmod(F.xxhash64(key), F.lit(_KEY_GROUPS)).alias("keys"), F.col(row_id).cast("long").alias("id"), F.col(flag).cast("boolean").alias("flag"),
     )
     if events.isStreaming:
-        found = rows.groupBy("key").applyInPandasWithState(
+        found = rows.groupBy("keys").applyInPandasWithState(
             step, out, Rolling.schema, "append", GroupStateTimeout.EventTimeTimeout
         )
     else:

@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +101,38 @@ def test_alarms_equal_a_plain_walk():
             raised = not raised
             expected.append((t, i, sum(flags), raised))
     assert got == expected and expected and due is None
+
+
+def test_keys_of_a_group_go_forward_together_as_each_does_alone():
+    """Ties, rows that come twice, and what arrives before its turn, in a few calls for all keys."""
+    rng = random.Random(6)
+    rows = [(rng.choice("abcdefg"), rng.randrange(60), rng.randrange(9), rng.random() < 0.5) for _ in range(400)]
+    rows += rows[:20]
+    names = ["key", "micros", "id", "flag"]
+    rolling, state, got = timed.Rolling(5, 2), None, []
+    for low, high in ((0, 20), (20, 40), (40, 60)):
+        part = [r for r in rows if low <= r[1] < high]
+        rng.shuffle(part)
+        for half in (part[::2], part[1::2]):
+            state, changes, due = rolling.advance_keys(state, [pd.DataFrame(half, columns=names)], low - 1)
+            got += map(tuple, changes.to_numpy().tolist())
+    state, changes, due = rolling.advance_keys(state, [], 60)
+    got += map(tuple, changes.to_numpy().tolist())
+    expected = []
+    for key in "abcdefg":
+        flags, raised = [], False
+        for _, t, i, f in sorted(r for r in rows if r[0] == key):
+            flags = (flags + [f])[-5:]
+            if (sum(flags) >= 2) != raised:
+                raised = not raised
+                expected.append((key, t, i, sum(flags), raised))
+    assert sorted(got) == sorted(expected) and expected and due is None
+
+
+def test_alarms_keep_a_state_per_group_of_keys_not_per_key(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    land(spark, folder, [(i, i // 2, at(i % 2), True) for i in range(2000)])
+    land(spark, folder, [(-1, -1, at(100_000), False)])
+    query = run(FORMS["alarms"](stream(spark, folder)), out)
+    kept = max(o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"])
+    assert 0 < kept <= 256
