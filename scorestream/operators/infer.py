@@ -21,6 +21,8 @@ CHANNEL_MEAN = (0.485, 0.456, 0.406)
 CHANNEL_STD = (0.229, 0.224, 0.225)
 
 _FIELDS = ["class", "desc", "score"]
+#: Bytes of the tensors that are made at a time.
+_TENSOR_BYTES = 4_000_000
 
 
 def predict_udf(
@@ -73,20 +75,30 @@ def normalized_tensor_udf(
 ):
     """Column function: height-width-channel bytes -> channel-first floats.
 
-    Bytes are scaled to 0..1, then centred and scaled per channel, a whole batch
-    at a time.  A payload of another length than the shape's is null.
+    Bytes are scaled to 0..1, then centred and scaled per channel, some rows at a
+    time: what a task holds besides the payloads does not grow with the batches
+    of the engine.  A payload of another length than the shape's is null.
     """
     means = np.asarray(mean, dtype="float64")
     stds = np.asarray(std, dtype="float64")
     size = int(np.prod(tuple(shape)))
+    step = max(1, _TENSOR_BYTES // (8 * max(1, size)))
+    # The value of each byte in each channel.
+    levels = ((np.arange(256)[:, None] / 255.0 - means) / stds).astype("float32")
+    channels = np.arange(shape[-1])
+
+    def tensors(contents: pd.Series) -> pd.Series:
+        present = [c is not None and len(c) == size for c in contents]
+        raw = np.frombuffer(b"".join(contents[present]), dtype=np.uint8).reshape((sum(present), *shape))
+        scaled = levels[raw, channels].transpose(0, 3, 1, 2).reshape(len(raw), size)
+        found = iter(scaled)
+        return pd.Series([next(found) if p else None for p in present], index=contents.index, dtype=object)
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def normalize(contents: pd.Series) -> pd.Series:
-        fits = contents[contents.str.len() == size]
-        raw = np.frombuffer(b"".join(fits), dtype=np.uint8).reshape((len(fits), *shape))
-        scaled = ((raw / 255.0 - means) / stds).transpose(0, 3, 1, 2).reshape(len(fits), size)
-        tensors = dict(zip(fits.index, scaled.astype("float32")))
-        return pd.Series([tensors.get(i) for i in contents.index], index=contents.index, dtype=object)
+    def normalize(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for contents in batches:
+            for start in range(0, len(contents), step):
+                yield tensors(contents.iloc[start : start + step])
 
     return normalize
 

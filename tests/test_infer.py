@@ -1,6 +1,8 @@
 import struct
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,6 +45,21 @@ def test_tensor_is_scaled_per_channel(spark):
     assert rows[1][0] is None and rows[2][0] is None
 
 
+def test_tensors_are_made_some_rows_at_a_time_whatever_the_batch():
+    cells = np.random.default_rng(7).integers(0, 256, (700, 32 * 32 * 3), dtype=np.uint8)
+    contents = pd.Series([None if i % 50 == 3 else row.tobytes() for i, row in enumerate(cells)])
+    tracemalloc.start()
+    sizes, values = [], []
+    for part in infer.normalized_tensor_udf().func(iter([contents, contents[:0]])):
+        sizes.append(len(part))
+        values += [None if tensor is None else float(tensor[1024:2048].sum()) for tensor in part]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    expected = ((cells.reshape(700, 1024, 3)[:, :, 1] / 255.0 - 0.456) / 0.224).astype("float32").sum(axis=1)
+    assert sum(sizes) == 700 and max(sizes) <= 200 and peak < 30_000_000
+    assert all(v is None if i % 50 == 3 else abs(v - expected[i]) < 0.01 for i, v in enumerate(values))
+
+
 @pytest.mark.parametrize("batch_size", [1, 7, 64])
 def test_inner_batches_do_not_change_predictions(spark, batch_size):
     def load():
