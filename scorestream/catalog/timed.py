@@ -6,7 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from scorestream.catalog.registry import query, table
 from scorestream.sources.sinks import json_messages, publish, stream_sink
-from scorestream.sources.streams import message_replay
+from scorestream.sources.streams import files_per_trigger, message_replay
 from scorestream.streaming.messages import parse_json_messages
 from scorestream.streaming.timed import first_sightings, followed_by, rolling_alarms, sessions, windowed
 from scorestream.workspace import scratch_path
@@ -15,6 +15,8 @@ from scorestream.workspace import scratch_path
 _SLICES = 3
 _ROWS_PER_FILE = 50_000
 _FILES_PER_TRIGGER = 4
+#: With more files than give so many micro-batches, a micro-batch takes more files.
+_BATCHES = 12
 _MESSAGE = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
@@ -30,12 +32,13 @@ def _landed(spark, sf_dir, twice=False):
     """A folder of event messages in slices of time, closed by a row far in the future, and the length of a slice."""
     events = table(spark, sf_dir, "events", "event_id", "user_id", "event_type", "value", "ts")
     events = events.withColumn("micros", F.unix_micros(F.col("ts").cast("timestamp_ntz").cast("timestamp"))).drop("ts")
-    first, last = events.agg(F.min("micros"), F.max("micros")).first()
+    first, last, n_rows = events.agg(F.min("micros"), F.max("micros"), F.count("micros")).first()
     step = (last - first) // _SLICES + 1
+    writers = max(2, -(-n_rows // (_SLICES * _ROWS_PER_FILE)))
     folder = scratch_path(spark, "timed-events")
     for k in range(_SLICES):
         part = events.where(F.col("micros").between(first + k * step, first + (k + 1) * step - 1))
-        part = part.orderBy(F.xxhash64("event_id")).coalesce(2)
+        part = part.repartition(writers).sortWithinPartitions(F.xxhash64("event_id"))
         messages = json_messages(part.unionAll(part) if twice else part, "event_id")
         publish(messages, folder, options={"maxRecordsPerFile": _ROWS_PER_FILE})
     far = [(-1, -1, kind, 0.0, last + 1000 * 86_400_000_000) for kind in ("view", "purchase")]
@@ -44,7 +47,8 @@ def _landed(spark, sf_dir, twice=False):
 
 
 def _events(spark, folder):
-    parsed = parse_json_messages(message_replay(spark, folder, _FILES_PER_TRIGGER), _MESSAGE)
+    files = files_per_trigger(spark, folder, _FILES_PER_TRIGGER, _BATCHES)
+    parsed = parse_json_messages(message_replay(spark, folder, files), _MESSAGE)
     return parsed.withColumn("ts", F.timestamp_micros("micros")).drop("micros")
 
 

@@ -57,6 +57,16 @@ def message_replay(
     return stream_source(spark, "parquet", path, MESSAGE_ENVELOPE, options)
 
 
+def files_per_trigger(spark: SparkSession, path: str, least: int, batches: int) -> int:
+    """Files of a micro-batch, ``least`` or more, so that what lies in a folder is taken in about ``batches`` of them.
+
+    A micro-batch has costs of its own besides those of its rows: plans, commits,
+    a pass over the state.  A fixed number of files makes their number grow with
+    the input, and the passes over the state with its square.
+    """
+    return max(least, -(-len(spark.read.schema(MESSAGE_ENVELOPE).parquet(path).inputFiles()) // batches))
+
+
 def arriving_files(
     spark: SparkSession, path: str, glob: str | None = None, files_per_trigger: int | None = None
 ) -> DataFrame:

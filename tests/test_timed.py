@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from scorestream.catalog import timed as catalog
 from scorestream.sources.sinks import stream_sink
 from scorestream.streaming import timed
 
@@ -136,3 +137,17 @@ def test_alarms_keep_a_state_per_group_of_keys_not_per_key(spark, tmp_path):
     query = run(FORMS["alarms"](stream(spark, folder)), out)
     kept = max(o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"])
     assert 0 < kept <= 256
+
+
+def test_micro_batches_do_not_grow_with_the_files(spark, tmp_path, monkeypatch):
+    """As many files as a table of millions of rows gives; the rows are those of the batch."""
+    rows = [(i, at(i * 7), i % 5, "view", 1.0, "{}") for i in range(3000)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    started = []
+    monkeypatch.setattr(catalog, "_ROWS_PER_FILE", 25)
+    monkeypatch.setattr(catalog, "stream_sink", lambda *a, **k: started.append(stream_sink(*a, **k)) or started[-1])
+    found = catalog.stream_tumbling_windows(spark, str(tmp_path))
+    assert found.agg(F.sum("n_rows")).first()[0] == 3000
+    read = [p for p in started[0].recentProgress if p["numInputRows"]]
+    assert 3 < len(read) <= 13
