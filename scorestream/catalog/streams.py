@@ -16,7 +16,7 @@ from scorestream.sources.sinks import (
     publish,
     stream_sink,
 )
-from scorestream.sources.streams import message_replay, text_lines
+from scorestream.sources.streams import files_per_trigger, message_replay, text_lines
 from scorestream.streaming.arrivals import file_lines_stream
 from scorestream.streaming.messages import parse_delimited_messages, parse_json_messages
 from scorestream.streaming.monitor import TimingListener, batch_timing
@@ -35,6 +35,8 @@ _ALL = {"availableNow": True}
 #: Rows per message file and files per micro-batch of the replays below.
 _ROWS_PER_FILE = 5000
 _FILES_PER_TRIGGER = 8
+#: With more files than give so many micro-batches, a micro-batch takes more files.
+_BATCHES = 24
 
 _SHAPE = T.StructType(
     [
@@ -56,7 +58,7 @@ def _replay(spark, messages, name, files=_FILES_PER_TRIGGER):
     """Publish messages to a folder and read the folder as a stream."""
     path = scratch_path(spark, name)
     publish(messages, path, options={"maxRecordsPerFile": _ROWS_PER_FILE})
-    return message_replay(spark, path, files)
+    return message_replay(spark, path, files_per_trigger(spark, path, files, _BATCHES))
 
 
 def _finish(streaming_query):

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from scorestream.catalog import streams as catalog
 from scorestream.operators import metrics
 from scorestream.sources import sinks, streams
 from scorestream.streaming import arrivals, messages, monitor, scoring
@@ -193,3 +194,16 @@ def test_files_are_counted_as_they_arrive(spark, tmp_path):
     files = spark.read.format("binaryFile").load(str(folder))
     paths = arrivals.event_paths(arrivals.arrival_events(files))
     assert sorted(paths.collect()) == sorted(files.select("path").collect())
+
+
+def test_micro_batches_of_a_replay_do_not_grow_with_the_files(spark, tmp_path, monkeypatch):
+    """A folder of 100 files, one a micro-batch while these are few."""
+    rows = [(i, i % 7, "view", 1.0) for i in range(500)]
+    schema = "event_id long, user_id long, event_type string, value double"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    started = []
+    monkeypatch.setattr(catalog, "_ROWS_PER_FILE", 5)
+    monkeypatch.setattr(catalog, "stream_sink", lambda *a, **k: started.append(sinks.stream_sink(*a, **k)) or started[-1])
+    found = catalog.stream_batch_timing(spark, str(tmp_path)).first()
+    assert (found["n_rows"], found["timed"]) == (500, True)
+    assert 15 <= len([p for p in started[0].recentProgress if p["numInputRows"]]) <= 24
