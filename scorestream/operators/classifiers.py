@@ -17,6 +17,10 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.sql import DataFrame
+
+#: Bytes of binned features in one partition of a tree's input.
+_TREE_BYTES = 128_000_000
 
 
 def logistic(features: str = "features", label: str = "label", **params: Any) -> LogisticRegression:
@@ -32,6 +36,21 @@ def decision_tree(features: str = "features", label: str = "label", **params: An
     return DecisionTreeClassifier(featuresCol=features, labelCol=label, **params)
 
 
+def dealt_for_trees(vectors: DataFrame, n_rows: int, features: str = "features") -> DataFrame:
+    """``vectors`` in so many partitions that a task holds at most ``_TREE_BYTES`` of a tree's input.
+
+    Trees keep a number of four bytes for every feature of every row, sparse or
+    not, so a partition of short rows becomes one of very long ones.  The vectors
+    are also made once and not for every pass over them.
+    """
+    first = vectors.first()
+    width = first[features].size if first else 0
+    wanted = -(-n_rows * width * 4 // _TREE_BYTES)
+    if wanted < 2:
+        return vectors
+    return vectors.repartition(max(wanted, vectors.sparkSession.sparkContext.defaultParallelism))
+
+
 def random_forest(
     features: str = "features", label: str = "label", trees: int = 5, seed: int | None = 42, **params: Any
 ) -> RandomForestClassifier:

@@ -115,6 +115,8 @@ class ReviewPlan:
         learnt = iter(fitted.stages)
         features = PipelineModel(stages=[next(learnt) if stage in needed else stage for stage in stages])
         vectors = fitted.transform(train).select("label", "features")
+        if self.classifier == "dt":
+            vectors = classifiers.dealt_for_trees(vectors, train.count())
         return features, Pipeline(stages=[self.classifier_stage()]).fit(vectors)
 
     def score(self, models: Sequence[PipelineModel], df: DataFrame) -> DataFrame:

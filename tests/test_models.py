@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import IDF, CountVectorizer, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from scorestream.functions.text import word_tokens
@@ -274,3 +274,32 @@ def test_stored_tokens_give_the_same_models_as_texts(spark):
         for part in (stored, texts)
     ]
     assert found[0] == found[1] == found[2] == found[3] and len(found[0]) == 60
+
+
+def test_tree_input_is_dealt_by_its_width_and_gives_the_same_tree(spark, monkeypatch):
+    """Forty bytes a row for ten features; a partition holds ten rows of them, not all."""
+    rows = spark.range(200).coalesce(1).select(
+        (F.col("id") % 3 == 0).cast("double").alias("label"),
+        array_to_vector(F.array(*(((F.col("id") * k) % 11).cast("double") for k in range(1, 11)))).alias("features"),
+    )
+    monkeypatch.setattr(classifiers, "_TREE_BYTES", 400)
+    dealt = classifiers.dealt_for_trees(rows, 200)
+    sizes = [n for n in dealt.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()]
+    assert sum(sizes) == 200 and max(sizes) <= 15
+    trees = [classifiers.decision_tree().fit(df).toDebugString.split("\n", 1)[1] for df in (rows, dealt)]
+    assert trees[0] == trees[1]
+    assert classifiers.dealt_for_trees(rows.where("label > 5"), 0).count() == 0
+
+
+def test_a_review_tree_is_fitted_on_dealt_rows(spark, monkeypatch):
+    seen = []
+    dealt = classifiers.dealt_for_trees
+    monkeypatch.setattr(classifiers, "dealt_for_trees", lambda *a: seen.append(a[1]) or dealt(*a))
+    df = spark.range(60).select(
+        F.col("id").alias("doc_id"), (F.col("id") % 2).alias("stars"),
+        F.when(F.col("id") % 2 == 0, "good fine nice").otherwise("bad poor sad").alias("text"),
+    )
+    plan = ReviewPlan(key="doc_id", min_df=1, feature_set="text", classifier="dt")
+    prepared = plan.prepare(df)
+    scored = plan.score(plan.fit(prepared), prepared)
+    assert seen == [plan.training_rows(prepared).count()] and scored.where("label <> prediction").count() == 0
