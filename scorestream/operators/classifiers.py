@@ -22,6 +22,9 @@ from pyspark.sql import DataFrame
 #: Bytes of binned features in one partition of a tree's input.
 _TREE_BYTES = 128_000_000
 
+#: Features above which a tree is grown on what is not zero (``sparse_tree``).
+_TREE_WIDTH = 20_000
+
 
 def logistic(features: str = "features", label: str = "label", **params: Any) -> LogisticRegression:
     return LogisticRegression(featuresCol=features, labelCol=label, **params)
@@ -43,14 +46,22 @@ def dealt_for_trees(vectors: DataFrame, n_rows: int, features: str = "features")
     not, so a partition of short rows becomes one of very long ones.  The vectors
     are also made once and not for every pass over them.
     """
-    first = vectors.first()
-    width = first[features].size if first else 0
-    wanted = -(-n_rows * width * 4 // _TREE_BYTES)
+    wanted = -(-n_rows * _width(vectors, features) * 4 // _TREE_BYTES)
     if wanted < 2:
         return vectors
     return vectors.repartition(max(wanted, vectors.sparkSession.sparkContext.defaultParallelism))
 
 
+def too_wide_for_trees(vectors: DataFrame, features: str = "features") -> bool:
+    """Whether the library's tree would keep more than ``_TREE_WIDTH`` numbers for every row."""
+    return _width(vectors, features) > _TREE_WIDTH
+
+
+def _width(vectors: DataFrame, features: str) -> int:
+    first = vectors.first()
+    return first[features].size if first else 0
+
+
 def random_forest(
     features: str = "features", label: str = "label", trees: int = 5, seed: int | None = 42, **params: Any
 ) -> RandomForestClassifier:

@@ -12,6 +12,7 @@ from scorestream.functions.numeric import real_product, vote_interactions, with_
 from scorestream.operators import classifiers, metrics
 from scorestream.operators.clean import above_up_to, all_between, clean_rows, drop_null_rows
 from scorestream.operators.features import assemble, checked_labels, index_label, term_stages, token_stages
+from scorestream.operators.sparse_tree import SparseTree
 from scorestream.operators.split import is_train
 from scorestream.sources.artifacts import chain_models
 
@@ -115,9 +116,12 @@ class ReviewPlan:
         learnt = iter(fitted.stages)
         features = PipelineModel(stages=[next(learnt) if stage in needed else stage for stage in stages])
         vectors = fitted.transform(train).select("label", "features")
-        if self.classifier == "dt":
+        stage = self.classifier_stage()
+        if self.classifier == "dt" and classifiers.too_wide_for_trees(vectors):
+            stage = SparseTree(maxDepth=self.max_depth)
+        elif self.classifier == "dt":
             vectors = classifiers.dealt_for_trees(vectors, train.count())
-        return features, Pipeline(stages=[self.classifier_stage()]).fit(vectors)
+        return features, Pipeline(stages=[stage]).fit(vectors)
 
     def score(self, models: Sequence[PipelineModel], df: DataFrame) -> DataFrame:
         """Key, label, prediction and whether the row was trained on."""
