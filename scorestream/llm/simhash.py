@@ -129,6 +129,8 @@ def links(codes: DataFrame, most: int = LINK_BITS) -> DataFrame:
     """(a, b) of nodes with different codes at ``most`` or fewer differing bits, each once or more.
 
     Every code must stand for one node; at most ``LINK_BITS`` bits can be asked for.
+    The engine sizes a table of replicas by its nodes, some 32 times too low, so
+    it may not choose to broadcast one: both sides are always shuffled.
     """
     if most > LINK_BITS:
         raise ValueError(f"the anchors guarantee links of up to {LINK_BITS} bits")
@@ -136,7 +138,7 @@ def links(codes: DataFrame, most: int = LINK_BITS) -> DataFrame:
     at_home = spread.where("home").select("half", "anchor", F.col("node").alias("a"), F.col("code").alias("own"))
     visiting = spread.select("half", "anchor", F.col("node").alias("b"), "code")
     near = F.bit_count(F.col("own").bitwiseXOR(F.col("code"))) <= most
-    return at_home.join(visiting, ["half", "anchor"]).where(near & (F.col("a") != F.col("b"))).select("a", "b")
+    return at_home.join(visiting.hint("merge"), ["half", "anchor"]).where(near & (F.col("a") != F.col("b"))).select("a", "b")
 
 
 def _components(marked: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from scorestream.llm import components, simhash
 
@@ -80,6 +81,12 @@ def test_links_equal_a_comparison_of_all_pairs(spark):
     }
 
 
+def test_replicas_of_few_nodes_are_shuffled_and_not_broadcast(spark):
+    codes = spark.range(3000).select(F.col("id").alias("node"), F.xxhash64("id").alias("code"))
+    plan = simhash.links(codes)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
 def test_more_bits_than_the_anchors_guarantee_are_refused(spark):
     with pytest.raises(ValueError):
         simhash.links(spark.createDataFrame([], "node long, code long"), 4)
