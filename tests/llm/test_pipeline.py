@@ -7,7 +7,7 @@ import tiktoken
 
 import __spark_entry__
 import corpus_pipeline
-from scorestream.llm import private, queries, tokens
+from scorestream.llm import private, queries, simhash, tokens
 from tests.llm.test_private import brute as private_spans
 from tests.llm.test_simhash import brute_components, brute_fingerprint
 
@@ -76,6 +76,18 @@ def test_stages_keep_the_columns_and_clean_rows(spark):
         assert function(spark, docs.limit(0), SMALL).count() == 0
 
 
+def test_near_copies_are_linked_without_a_broadcast_of_replicas(spark, monkeypatch):
+    plans = []
+
+    def seen(links, name, run=simhash.smallest_reachable):
+        plans.append(links._jdf.queryExecution().executedPlan().toString())
+        return run(links, name)
+
+    monkeypatch.setattr(simhash, "smallest_reachable", seen)
+    assert stage("near_copies")(spark, documents(spark), SMALL).count() == len(ROWS) - 2
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "BroadcastExchange" not in plans[0]
+
+
 def test_a_leaking_document_goes(spark):
     item = spark.read.parquet(f"{SMALL}/benchmark.parquet").where("length(text) > 150").first()["text"]
     docs = spark.createDataFrame([(1, "So " + item + " it is.", "en", "s", 1), (2, "So it is.", "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
